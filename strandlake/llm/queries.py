@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe
+from strandlake.llm import byte_bpe, language_id, lm_score
+from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -19,9 +21,26 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from labelled rows whose bucket of 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    langs, automaton = language_id.train(docs.where(bucket("doc_id", 4) != 2))
+    found = language_id.predict(docs, langs, automaton)
+    return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every whole text, learned from all texts whose bucket of 10 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    found = lm_score.score(docs, docs.where(bucket("doc_id", 10) != 0))
+    return found.select("doc_id", (bucket("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_byte_bpe": op4_byte_bpe,
+        "op7_language_id": op7_language_id,
+        "op8_lm_score": op8_lm_score,
     }
 
 
