@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, language_id, lm_score
+from strandlake.llm import byte_bpe, language_id, lm_score, toxicity
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from labelled rows whose bucket of 5 is not 0."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grammar = toxicity.train(docs.where(bucket("doc_id", 5) != 0), labels.where(bucket("doc_id", 5) != 0))
+    return toxicity.score(docs, grammar).select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes of every whole text."""
     docs = table(spark, sf_dir, "documents")
@@ -38,6 +45,7 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op4_byte_bpe": op4_byte_bpe,
         "op7_language_id": op7_language_id,
         "op8_lm_score": op8_lm_score,
