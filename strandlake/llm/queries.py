@@ -8,13 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, language_id, lm_score, toxicity
+from strandlake.llm import byte_bpe, language_id, lm_score, toxicity, url_filter
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+#: Stated rules: hosts with all their subdomains, and the beginning of a path.
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page by the stated rules, else by mined association rules."""
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    return url_filter.judge(pages, URL_RULES, url_filter.mine(url_filter.labelled_urls(pages, labels)))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learned from labelled rows whose bucket of 5 is not 0."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -45,6 +55,7 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_toxicity": op2_toxicity,
         "op4_byte_bpe": op4_byte_bpe,
         "op7_language_id": op7_language_id,
