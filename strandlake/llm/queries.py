@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, language_id, lm_score, toxicity, url_filter
+from strandlake.llm import byte_bpe, html_text, language_id, lm_score, toxicity, url_filter
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
@@ -32,6 +32,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, grammar).select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, learned from pages whose document is known and from generated layouts."""
+    pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    return html_text.extract(pages, html_text.train(pages, docs))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes of every whole text."""
     docs = table(spark, sf_dir, "documents")
@@ -57,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_toxicity": op2_toxicity,
+        "op3_html_text": op3_html_text,
         "op4_byte_bpe": op4_byte_bpe,
         "op7_language_id": op7_language_id,
         "op8_lm_score": op8_lm_score,
