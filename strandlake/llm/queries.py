@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, html_text, language_id, lm_score, toxicity, url_filter
+from strandlake.llm import byte_bpe, embedding_dups, html_text, language_id, lm_score, toxicity, url_filter
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
@@ -59,6 +59,11 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (bucket("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all vectors at a cosine of 0.9."""
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": op4_byte_bpe,
         "op7_language_id": op7_language_id,
         "op8_lm_score": op8_lm_score,
+        "op10_embedding_dups": op10_embedding_dups,
     }
 
 
