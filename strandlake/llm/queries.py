@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, embedding_dups, html_text, language_id, lm_score, toxicity, url_filter
+from strandlake.llm import byte_bpe, decontaminate, embedding_dups, html_text, language_id, lm_score, toxicity, url_filter
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
@@ -44,6 +44,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 8 words in every whole text."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 8, 2)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from labelled rows whose bucket of 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -70,11 +75,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_html_text": op3_html_text,
         "op4_byte_bpe": op4_byte_bpe,
+        "op6_decontaminate": op6_decontaminate,
         "op7_language_id": op7_language_id,
         "op8_lm_score": op8_lm_score,
         "op10_embedding_dups": op10_embedding_dups,
     }
 
 
+#: The same windows by brute force: every window of every document, of each length that items have.
+OP6_SQL = r"""
+with folded as (
+  select 'd' as side, doc_id as id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from documents
+  union all
+  select 'b', item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') from benchmark
+), win as (
+  select distinct id as item_id, least(8, len(w)) as k, array_to_string(list_slice(w, s, s + least(8, len(w)) - 1), ' ') as t
+  from (select id, w, unnest(generate_series(1, greatest(1, len(w) - 7))) as s from folded where side = 'b' and len(w) > 0)
+), docwin as (
+  select id as doc_id, k, s, array_to_string(list_slice(w, s, s + k - 1), ' ') as t
+  from (select id, w, k, unnest(generate_series(1, len(w) - k + 1)) as s from folded cross join (select distinct k from win) where side = 'd' and len(w) >= k)
+), hit as (
+  select doc_id, item_id, d.k, s from docwin d join win using (k, t)
+), places as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(generate_series(s, s + k - 1)) as p from hit) group by doc_id
+), named as (
+  select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as names from (select distinct doc_id, cast(item_id as varchar) as i from hit) group by doc_id
+)
+select f.id as doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_items, 0) >= 2 as contaminated
+from folded f left join places on f.id = places.doc_id left join named on f.id = named.doc_id where side = 'd'
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontaminate": OP6_SQL}
