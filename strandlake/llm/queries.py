@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, decontaminate, embedding_dups, html_text, language_id, lm_score, toxicity, url_filter
+from strandlake.llm import byte_bpe, decontaminate, embedding_dups, html_text, jaccard_join, language_id, lm_score, toxicity, url_filter
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
@@ -44,6 +44,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles have a Jaccard similarity of 0.9."""
+    return jaccard_join.components(table(spark, sf_dir, "documents"), 3, 90)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 8 words in every whole text."""
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 8, 2)
@@ -75,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_html_text": op3_html_text,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_decontaminate": op6_decontaminate,
         "op7_language_id": op7_language_id,
         "op8_lm_score": op8_lm_score,
