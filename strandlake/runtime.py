@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -23,3 +24,14 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Keys up to which a semi-join may broadcast its side; each is one 64-bit value.
+BROADCAST_KEYS = 500_000
+
+
+def rows_with(df: DataFrame, keys: DataFrame, on: str, most: int = BROADCAST_KEYS) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is among ``keys``: the distinct keys are broadcast if counted to be few, else both sides are shuffled."""
+    own = cut(keys.select(on).distinct())
+    few = own.limit(most + 1).count() <= most
+    return df.join(F.broadcast(own) if few else own, on, "left_semi")
