@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, decontaminate, embedding_dups, html_text, jaccard_join, language_id, lm_score, toxicity, url_filter
+from strandlake.llm import byte_bpe, decontaminate, embedding_dups, html_text, jaccard_join, language_id, lm_score, substring_dedup, toxicity, url_filter
 from strandlake.llm.language_id import bucket
 from strandlake.runtime import table
 
@@ -69,6 +69,11 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (bucket("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that an earlier document has too."""
+    return substring_dedup.passages(table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and classes of all vectors at a cosine of 0.9."""
     return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontaminate": op6_decontaminate,
         "op7_language_id": op7_language_id,
         "op8_lm_score": op8_lm_score,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_embedding_dups": op10_embedding_dups,
     }
 
