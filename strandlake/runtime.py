@@ -35,3 +35,13 @@ def rows_with(df: DataFrame, keys: DataFrame, on: str, most: int = BROADCAST_KEY
     own = cut(keys.select(on).distinct())
     few = own.limit(most + 1).count() <= most
     return df.join(F.broadcast(own) if few else own, on, "left_semi")
+
+
+#: Rows up to which a table may be broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The table cut off, with a broadcast hint if it is counted to have at most ``most`` rows; else joins with it are shuffled."""
+    own = cut(df)
+    return F.broadcast(own) if own.limit(most + 1).count() <= most else own
