@@ -7,7 +7,7 @@ to the language that sorts first; extra columns are ignored; without learned row
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -61,8 +61,10 @@ def train(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, contexts: int
     return langs, ppm.build((top.column("k").to_numpy(), top.column("ctx").to_numpy()), (model, k, ctx, sym, n), len(langs), DEPTH)
 
 
-def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None) -> DataFrame:
-    """``doc_id, lang_pred, score``; the score is the posterior of the language under equal priors."""
+def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, lang_pred, score`` and the columns in ``keep``; the score is the posterior of the language under equal priors."""
+    kept = [c for c in keep if c not in ("doc_id", "text", "lang_pred", "score")] + ["text"] * ("text" in keep)
+    types = dict(docs.dtypes)
     shared = docs.sparkSession.sparkContext.broadcast((langs, automaton))
     letter = regex.compile(r"\p{L}")
 
@@ -84,7 +86,10 @@ def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None)
                 with np.errstate(under="ignore"):
                     score = np.where(known, 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1), 0.0)
             pred = [names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+            cols = [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), *[batch.column(c) for c in kept]]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang_pred", "score", *kept])
 
-    picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+    others = [c for c in kept if c != "text"]
+    picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *others)
+    schema = "doc_id bigint, lang_pred string, score double" + "".join(f", `{c}` {types[c]}" for c in others) + ", text string" * ("text" in kept)
+    return picked.mapInArrow(run, schema)
