@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.llm.forest import forest
 from strandlake.operators.graph import connected_components
 from strandlake.runtime import cut
 
@@ -115,22 +116,6 @@ def _unit(column: pa.Array, width: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from every node of the pairs to the smallest node of its component."""
-    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-    a, b, label = at[: len(a)], at[len(a) :], np.arange(len(nodes))
-    while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        np.minimum.at(new, b, label[a])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    far = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[far], nodes[label[far]]
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PROBES, fit_rows: int = FIT_ROWS, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row ``(vec_id, embedding)``; links are pairs found with cosine >= ``threshold``."""
     spark = vectors.sparkSession
@@ -214,7 +199,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PR
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
         count_q = np.bincount(a, y.column("copies").to_numpy()[b], len(q)).astype(np.int64)
         count_y = np.bincount(b, q.column("copies").to_numpy()[a], len(y)).astype(np.int64)
-        far, near = _forest(qi[a], yi[b])
+        far, near = forest(qi[a], yi[b])
         zero = np.zeros(len(far), np.int64)
         ids = np.concatenate((qi[count_q > 0], yi[count_y > 0]))
         sums = np.concatenate((count_q[count_q > 0], count_y[count_y > 0]))

@@ -8,9 +8,10 @@ either equal segments or half as many with one-deletion neighbourhoods. A set al
 lower bands whose sets it can still match.
 
 Equal sets are folded into one node first. Within a signature group every member is compared with one
-leader, so a group of any size gives as many pairs as members; then, round by round, only groups that still
-hold more than one component take further leaders, and finally the pairs across components that are
-left. All comparisons are exact; components lose no link, and no group is gathered in a task.
+leader, so a group of any size gives as many pairs as members. Members of one leader that are still in
+different components are then compared by their differences from the leader, which are small and settle
+every Jaccard value exactly: in blocks of bounded size, as products of matrices, so that no list of all pairs is
+made and no task holds a whole group. Components lose no link.
 
 Defined cases: texts without words (null or empty) have empty sets, link with nothing and are their own
 component; texts of fewer words than n are one n-gram; repeated rows and equal sets are linked; extra columns are
@@ -26,15 +27,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.llm import seen_twice
 from strandlake.llm import textvec as tv
+from strandlake.llm.forest import forest
 from strandlake.operators.graph import connected_components
-from strandlake.runtime import cut
+from strandlake.runtime import cut, rows_with
 
-#: Growth of a size band; rounds with a new leader before the rest of the pairs; cost of one signature in units of a false pair.
-BAND_GROWTH, LEADER_ROUNDS, SIGNATURE_COST = 1.5, 2, 0.05
+#: Growth of a size band; cost of one signature in units of a false pair; members of a leader compared in one block; columns of a product.
+BAND_GROWTH, SIGNATURE_COST, MEMBERS, COLUMNS = 1.5, 0.05, 1000, 4096
 BLOCK = 1 << 21
 
 
@@ -123,7 +127,8 @@ def _per_row(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n bigint, fp bigint")
 
 
-def _signature_rows(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
+def _signature_rows(docs: DataFrame, n: int, plan: Plan, recurring: Broadcast | None = None) -> DataFrame:
+    """``sig, fp, n`` of every set; only signatures that may recur, if these are known."""
     shared = docs.sparkSession.sparkContext.broadcast(plan)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +137,8 @@ def _signature_rows(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
             sig, fp, size, held = [], [], [], 0
             for s in sets_of(*tv.string_bytes(b.column("text")), n):
                 if len(s):
-                    sig.append(signatures(s, p))
+                    own = signatures(s, p)
+                    sig.append(own[seen_twice.may_recur(recurring.value, own)] if recurring else own)
                     fp.append(fingerprint(s))
                     size.append(len(s))
                     held += len(sig[-1])
@@ -166,26 +172,90 @@ def _set_rows(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "fp bigint, grams binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that link, compared exactly."""
+def _with_sets(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """The pairs ``(a, b)`` with the sets of both, made anew from the first text of each node; equal ``a`` stand together."""
+    ids = nodes.join(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(), "fp", "left_semi").select(F.col("rep").alias("doc_id"))
+    sets = _set_rows(rows_with(base, ids, "doc_id"), n)
+    left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("gb"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ga", "gb")
+
+
+def _sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    last, x = None, None
+    for raw_a, raw_b in zip(batch.column("ga"), batch.column("gb"), strict=True):
+        raw_a = raw_a.as_buffer()
+        if last is None or not raw_a.equals(last):
+            last, x = raw_a, np.frombuffer(raw_a, np.uint64)
+        yield x, np.frombuffer(raw_b.as_buffer(), np.uint64)
+
+
+def _within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each element of ``y`` whether the sorted set ``x`` has it."""
+    at = np.searchsorted(x, y)
+    at[at == len(x)] = 0
+    return x[at] == y
+
+
+def _linked(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that link, compared exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, x = [], None, None
-            for raw_a, raw_b in zip(batch.column("ga"), batch.column("gb"), strict=True):
-                raw_a = raw_a.as_buffer()
-                if last is None or not raw_a.equals(last):
-                    last, x = raw_a, np.frombuffer(raw_a, np.uint64)
-                y = np.frombuffer(raw_b.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                same = int((x[at] == y).sum())
+            keep = []
+            for x, y in _sets(batch):
+                same = int(_within(x, y).sum())
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("gb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ga", "gb").mapInArrow(run, "a bigint, b bigint")
+    return _with_sets(pairs, base, nodes, n).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _differences(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """``a, b, n, diff``: what the set of ``b``, of size ``n``, lacks of that of ``a`` or has beyond it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, diff = [], []
+            for x, y in _sets(batch):
+                size.append(len(y))
+                diff.append(np.concatenate((y[~_within(x, y)], x[~_within(y, x)])).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(size, pa.int64()), pa.array(diff, pa.binary())], names=["a", "b", "n", "diff"])
+
+    return _with_sets(pairs, base, nodes, n).mapInArrow(run, "a bigint, b bigint, n bigint, diff binary").dropDuplicates(["a", "b"])
+
+
+def _block_links(t: pa.Table, percent: int) -> pa.Table:
+    """Links across components among the members of a leader in two blocks (or within one), as a forest."""
+    cells = t.column("cell").to_pylist()
+    first, last = cells[0]
+    own = t.column("own").to_numpy()
+    rows, cols = np.flatnonzero(own == first), np.flatnonzero(own == last)
+    sizes, comp, ids = (t.column(c).to_numpy() for c in ("n", "component", "b"))
+    diffs = [np.frombuffer(d.as_buffer(), np.uint64) for d in t.column("diff")]
+    lens = np.array([len(d) for d in diffs])
+    who = np.repeat(np.arange(len(diffs)), lens)
+    _, at, times = np.unique(np.concatenate(diffs), return_inverse=True, return_counts=True)
+    often = times[at] > 1
+    who, at = who[often], np.unique(at[often], return_inverse=True)[1]
+    both = np.zeros((len(rows), len(cols)), np.float32)
+    row_at, col_at = np.full(len(diffs), -1), np.full(len(diffs), -1)
+    row_at[rows], col_at[cols] = np.arange(len(rows)), np.arange(len(cols))
+    for lo in range(0, int(at.max(initial=-1)) + 1, COLUMNS):
+        part = (at >= lo) & (at < lo + COLUMNS)
+        w, c = who[part], at[part] - lo
+        x, y = np.zeros((len(rows), COLUMNS), np.float32), np.zeros((COLUMNS, len(cols)), np.float32)
+        r, k = row_at[w] >= 0, col_at[w] >= 0
+        x[row_at[w[r]], c[r]] = 1
+        y[c[k], col_at[w[k]]] = 1
+        both += x @ y
+    apart = lens[rows][:, None] + lens[cols] - 2 * both.astype(np.int64)
+    total = sizes[rows][:, None] + sizes[cols]
+    # intersection (total - apart) / 2, union (total + apart) / 2
+    link = (100 * (total - apart) >= percent * (total + apart)) & (comp[rows][:, None] != comp[cols])
+    i, j = np.nonzero(link)
+    far, near = forest(ids[rows[i]], ids[cols[j]]) if len(i) else (np.zeros(0, np.int64),) * 2
+    return pa.table({"a": pa.array(far, pa.int64()), "b": pa.array(near, pa.int64())})
 
 
 def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -200,39 +270,25 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         band = band + F.when(F.col("n") > int(e), 1).otherwise(0)
     plan = Plan.of(int(largest), percent, {r.band: r["count"] for r in nodes.groupBy(band.alias("band")).count().collect()})
 
-    every = _signature_rows(base, n, plan)
-    shared = every.groupBy("sig").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("sig", F.col("lo").alias("lead"))
-    members = cut(every.join(shared, "sig").select("sig", "fp", "n", "lead").distinct())
-    asked = nodes.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("rep").alias("doc_id"))
-    sets = cut(_set_rows(base.join(asked, "doc_id", "left_semi"), n).dropDuplicates(["fp"]))
-
-    fits = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-    sizes = members.select(F.col("fp").alias("lead"), F.col("n").alias("lead_n")).distinct()
-    tried = members.where("fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b"), "n").distinct()
-    tried = tried.join(sizes, F.col("a") == F.col("lead")).where(fits(F.col("n"), F.col("lead_n"))).select("a", "b")
-    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = cut(_linked(tried, sets, percent))
-    left = members.select("sig", "fp", "n")
-    for turn in range(LEADER_ROUNDS + 1):
-        comp = connected_components(links).select(F.col("node").alias("fp"), "component")
-        known = left.join(comp, "fp", "left").select("sig", "fp", "n", F.coalesce("component", "fp").alias("component"))
-        order = F.struct(F.xxhash64(F.lit(turn), "fp").alias("o"), "fp", "n", "component")
-        open_groups = known.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(order).alias("leader"))
-        open_groups = open_groups.where("c0 <> c1 and size > 2")
-        left = cut(known.join(open_groups.select("sig", "leader"), "sig"))
-        if not left.limit(1).count():
-            return _finish(rows, comp)
-        if turn < LEADER_ROUNDS:
-            more = left.where("fp <> leader.fp and component <> leader.component").where(fits(F.col("n"), F.col("leader.n")))
-            more = more.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
-        else:
-            one = left.select("sig", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-            two = left.select("sig", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            more = one.join(two, "sig").where("a < b and ca <> cb").where(fits(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-        links = cut(links.union(_linked(more.join(tried, ["a", "b"], "left_anti"), sets, percent)))
-        tried = tried.union(more)
-        left = left.select("sig", "fp", "n")
-    return _finish(rows, connected_components(links).select(F.col("node").alias("fp"), "component"))
+    recurring = seen_twice.recurring(_signature_rows(base, n, plan).select("sig"), "sig")
+    some = cut(_signature_rows(base, n, plan, recurring).select("sig", "fp").distinct())
+    leads = some.groupBy("sig").agg(F.min("fp").alias("a"), F.max("fp").alias("hi")).where("a <> hi").select("sig", "a")
+    tried = cut(some.join(leads, "sig").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
+    links = cut(_linked(tried, base, nodes, n, percent))
+    comp = connected_components(links).select(F.col("node").alias("fp"), "component")
+
+    known = tried.join(comp.withColumnRenamed("fp", "b"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("component"))
+    sizes = known.groupBy("a").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    open_ = cut(known.join(sizes.select("a", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")), "a"))
+    if not open_.limit(1).count():
+        return _finish(rows, comp)
+    diffs = _differences(open_.select("a", "b"), base, nodes, n)
+    own = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    spread = open_.join(diffs, ["a", "b"]).select("a", "b", "n", "component", "diff", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = spread.withColumn("cell", F.array(F.least("own", "other"), F.greatest("own", "other")))
+    more = spread.groupBy("a", "cell").applyInArrow(lambda t: _block_links(t, percent), "a bigint, b bigint")
+    every = connected_components(links.union(more))
+    return _finish(rows, every.select(F.col("node").alias("fp"), "component"))
 
 
 def _finish(rows: DataFrame, comp: DataFrame) -> DataFrame:
