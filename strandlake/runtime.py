@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -57,9 +59,10 @@ def ship(spark: SparkSession) -> None:
     if Path.cwd() == root or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_strandlake_shipped", False):
         return
     sc._strandlake_shipped = True
-    with tempfile.TemporaryDirectory() as folder:
-        packed = Path(folder, "strandlake_package.zip")
-        with zipfile.ZipFile(packed, "w") as z:
-            for p in sorted(root.glob("strandlake/**/*.py")):
-                z.write(p, p.relative_to(root))
-        sc.addPyFile(str(packed))
+    folder = tempfile.mkdtemp(prefix="strandlake-package-")  # served from here for as long as the session lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    packed = Path(folder, "strandlake_package.zip")
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(root.glob("strandlake/**/*.py")):
+            z.write(p, p.relative_to(root))
+    sc.addPyFile(str(packed))
