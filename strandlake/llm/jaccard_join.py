@@ -21,7 +21,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,24 +37,30 @@ from strandlake.llm.forest import forest
 from strandlake.operators.graph import connected_components
 from strandlake.runtime import cut, rows_with
 
-#: Growth of a size band; cost of one signature in units of a false pair; members of a leader compared in one block; columns of a product.
-BAND_GROWTH, SIGNATURE_COST, MEMBERS, COLUMNS = 1.5, 0.05, 1000, 4096
+#: Growth of a size band; cost of one signature in units of a false pair; sets that one block of comparisons holds;
+#: members of a leader compared in one block; columns of a product.
+BAND_GROWTH, SIGNATURE_COST, SETS, MEMBERS, COLUMNS = 1.5, 0.05, 500, 1000, 4096
 BLOCK = 1 << 21
 
 
 @dataclass
 class Plan:
-    """Upper ends of the bands, and for each its number of segments and whether they take one-deletion neighbourhoods."""
+    """Upper ends of the bands, and for each its number of segments, whether they take one-deletion neighbourhoods, and how many are spare.
+
+    With ``spare`` segments beyond what the pigeonhole needs, a set with at most as many empty segments need not
+    be indexed under these: two sets that agree on enough segments then agree on one that is not empty.
+    """
 
     ends: np.ndarray
     segments: np.ndarray
     deletions: np.ndarray
+    spare: np.ndarray
     percent: int
 
     @classmethod
     def of(cls, largest: int, percent: int, sets_in: dict[int, int]) -> Plan:
         ends = band_ends(largest)
-        segments, deletions = [], []
+        segments, deletions, spare = [], [], []
         for b, hi in enumerate(ends):
             lo = int(ends[b - 1]) + 1 if b else 1
             both = hi + 100 * hi // percent
@@ -66,8 +72,13 @@ class Plan:
             g = min(300, lo / half)
             cost_half = SIGNATURE_COST * n * (half + mid) + n * n / 2 * half * ((1 + g) * math.exp(-g)) ** 2
             deletions.append(cost_half < cost_equal)
-            segments.append(half if deletions[-1] else equal)
-        return cls(ends, np.array(segments), np.array(deletions), percent)
+            extra = 0
+            if not deletions[-1] and equal > 2:  # as many as sets of the band have empty segments, with a margin
+                while extra < equal and extra < 1 + 1.5 * (equal + extra) * math.exp(-lo / (equal + extra)):
+                    extra += 1
+            spare.append(extra)
+            segments.append(half if deletions[-1] else equal + extra)
+        return cls(ends, np.array(segments), np.array(deletions), np.array(spare), percent)
 
 
 def band_ends(largest: int) -> np.ndarray:
@@ -106,7 +117,9 @@ def signatures(s: np.ndarray, plan: Plan) -> np.ndarray:
         edge = np.searchsorted(seg[order], np.arange(m + 1))
         total, size = run[edge[1:]] - run[edge[:-1]], (edge[1:] - edge[:-1]).astype(np.uint64)
         tag = tv.mix(salt + np.arange(1, m + 1).astype(np.uint64))
-        out.append(tv.mix(total ^ tag) + size)
+        whole = tv.mix(total ^ tag) + size
+        empty = size == 0
+        out.append(whole[~empty] if 0 < empty.sum() <= plan.spare[b] else whole)
         if plan.deletions[b]:
             out.append(tv.mix((total[seg] - h) ^ tag[seg]) + size[seg] - np.uint64(1))
         b -= 1
@@ -127,32 +140,39 @@ def _per_row(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n bigint, fp bigint")
 
 
-def _signature_rows(docs: DataFrame, n: int, plan: Plan, recurring: Broadcast | None = None) -> DataFrame:
-    """``sig, fp, n`` of every set; only signatures that may recur, if these are known."""
+def _signature_keys(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
+    """``sig`` of every set; a signature that recurs within a batch has two rows of it, for no more is asked than whether it recurs."""
+    shared = docs.sparkSession.sparkContext.broadcast(plan)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = shared.value
+        for b in batches:
+            own = [signatures(s, p) for s in sets_of(*tv.string_bytes(b.column("text")), n) if len(s)]
+            if own:
+                keys, times = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((keys, keys[times > 1])))], names=["sig"])
+
+    return docs.select("text").mapInArrow(run, "sig bigint")
+
+
+def _signature_rows(docs: DataFrame, n: int, plan: Plan, recurring: Broadcast) -> DataFrame:
+    """``sig, fp`` of every set, signatures that may recur only."""
     shared = docs.sparkSession.sparkContext.broadcast(plan)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for b in batches:
-            sig, fp, size, held = [], [], [], 0
+            sig, fp = [], []
             for s in sets_of(*tv.string_bytes(b.column("text")), n):
                 if len(s):
                     own = signatures(s, p)
-                    sig.append(own[seen_twice.may_recur(recurring.value, own)] if recurring else own)
+                    sig.append(own[seen_twice.may_recur(recurring.value, own)])
                     fp.append(fingerprint(s))
-                    size.append(len(s))
-                    held += len(sig[-1])
-                if held > 200_000:
-                    yield _rows(sig, fp, size)
-                    sig, fp, size, held = [], [], [], 0
-            if held:
-                yield _rows(sig, fp, size)
-
-    def _rows(sig: list, fp: list, size: list) -> pa.RecordBatch:
-        times = [len(x) for x in sig]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig)), pa.array(np.repeat(fp, times)), pa.array(np.repeat(np.array(size, np.int32), times))], names=["sig", "fp", "n"])
+            if sig:
+                times = [len(x) for x in sig]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig)), pa.array(np.repeat(np.array(fp, np.int64), times))], names=["sig", "fp"])
 
-    return docs.mapInArrow(run, "sig bigint, fp bigint, n int")
+    return docs.select("text").mapInArrow(run, "sig bigint, fp bigint")
 
 
 def _set_rows(docs: DataFrame, n: int) -> DataFrame:
@@ -172,22 +192,43 @@ def _set_rows(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "fp bigint, grams binary")
 
 
-def _with_sets(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """The pairs ``(a, b)`` with the sets of both, made anew from the first text of each node; equal ``a`` stand together."""
-    ids = nodes.join(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(), "fp", "left_semi").select(F.col("rep").alias("doc_id"))
-    sets = _set_rows(rows_with(base, ids, "doc_id"), n)
-    left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("gb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ga", "gb")
+def _compared(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, schema: str, found: Callable[[list], pa.RecordBatch]) -> DataFrame:
+    """What ``found`` makes of the compared pairs ``(a, b)``, given as ``(a, b, set of a, set of b)``.
 
+    The nodes ``b`` are dealt into blocks; each set of a ``b`` travels once, and each set of an ``a`` once to
+    every block that asks for it. Sets are made anew from the first text of each node.
+    """
+    blocks = max(1, -(-pairs.select("b").distinct().count() // SETS))
+    p = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int"))
+    rep = nodes.select("fp", F.col("rep").alias("doc_id"))
+    texts = lambda c: rows_with(base, rep.join(pairs.select(F.col(c).alias("fp")).distinct(), "fp", "left_semi").select("doc_id"), "doc_id")
+    block_b = F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int")
+    none, null = F.lit(None).cast("binary"), F.lit(0).cast("bigint")
+    rows = _set_rows(texts("a"), n).join(p.select("block", F.col("a").alias("fp")).distinct(), "fp").select("block", F.lit(0).alias("kind"), F.col("fp").alias("a"), null.alias("b"), "grams")
+    rows = rows.union(p.select("block", F.lit(1), "a", "b", none))
+    rows = rows.union(_set_rows(texts("b"), n).select(block_b, F.lit(2), null, F.col("fp"), "grams"))
+    rows = rows.repartition(max(blocks, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block").sortWithinPartitions("block", "kind")
 
-def _sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    last, x = None, None
-    for raw_a, raw_b in zip(batch.column("ga"), batch.column("gb"), strict=True):
-        raw_a = raw_a.as_buffer()
-        if last is None or not raw_a.equals(last):
-            last, x = raw_a, np.frombuffer(raw_a, np.uint64)
-        yield x, np.frombuffer(raw_b.as_buffer(), np.uint64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, leads, asked, done = None, {}, {}, set()
+        for batch in batches:
+            out = []
+            for block, kind, a, b, grams in zip(*[batch.column(c) for c in ("block", "kind", "a", "b", "grams")], strict=True):
+                block, kind, a, b = block.as_py(), kind.as_py(), a.as_py(), b.as_py()
+                if block != at:
+                    at, leads, asked, done = block, {}, {}, set()
+                if kind == 0:
+                    leads[a] = np.frombuffer(grams.as_py(), np.uint64)
+                elif kind == 1:
+                    asked.setdefault(b, []).append(a)
+                elif b in asked and b not in done:
+                    done.add(b)
+                    y = np.frombuffer(grams.as_py(), np.uint64)
+                    out += [(a, b, leads[a], y) for a in asked[b] if a in leads]
+            if out:
+                yield found(out)
+
+    return rows.mapInArrow(run, schema)
 
 
 def _within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -200,29 +241,22 @@ def _within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _linked(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs that link, compared exactly."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in _sets(batch):
-                same = int(_within(x, y).sum())
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def found(rows: list) -> pa.RecordBatch:
+        keep = [(a, b) for a, b, x, y in rows if 100 * (s := int(_within(x, y).sum())) >= percent * (len(x) + len(y) - s)]
+        return pa.RecordBatch.from_arrays([pa.array([k[i] for k in keep], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return _with_sets(pairs, base, nodes, n).mapInArrow(run, "a bigint, b bigint").distinct()
+    return _compared(pairs, base, nodes, n, "a bigint, b bigint", found)
 
 
 def _differences(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """``a, b, n, diff``: what the set of ``b``, of size ``n``, lacks of that of ``a`` or has beyond it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, diff = [], []
-            for x, y in _sets(batch):
-                size.append(len(y))
-                diff.append(np.concatenate((y[~_within(x, y)], x[~_within(y, x)])).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(size, pa.int64()), pa.array(diff, pa.binary())], names=["a", "b", "n", "diff"])
+    def found(rows: list) -> pa.RecordBatch:
+        diff = [np.concatenate((y[~_within(x, y)], x[~_within(y, x)])).tobytes() for _, _, x, y in rows]
+        cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[3]) for r in rows], pa.int64()), pa.array(diff, pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=["a", "b", "n", "diff"])
 
-    return _with_sets(pairs, base, nodes, n).mapInArrow(run, "a bigint, b bigint, n bigint, diff binary").dropDuplicates(["a", "b"])
+    return _compared(pairs, base, nodes, n, "a bigint, b bigint, n bigint, diff binary", found)
 
 
 def _block_links(t: pa.Table, percent: int) -> pa.Table:
@@ -270,8 +304,8 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         band = band + F.when(F.col("n") > int(e), 1).otherwise(0)
     plan = Plan.of(int(largest), percent, {r.band: r["count"] for r in nodes.groupBy(band.alias("band")).count().collect()})
 
-    recurring = seen_twice.recurring(_signature_rows(base, n, plan).select("sig"), "sig")
-    some = cut(_signature_rows(base, n, plan, recurring).select("sig", "fp").distinct())
+    recurring = seen_twice.recurring(_signature_keys(base, n, plan), "sig")
+    some = cut(_signature_rows(base, n, plan, recurring).distinct())
     leads = some.groupBy("sig").agg(F.min("fp").alias("a"), F.max("fp").alias("hi")).where("a <> hi").select("sig", "a")
     tried = cut(some.join(leads, "sig").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
     links = cut(_linked(tried, base, nodes, n, percent))

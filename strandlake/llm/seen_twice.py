@@ -1,6 +1,6 @@
 """A fixed-size filter of the 64-bit keys that occur more than once, made without gathering keys.
 
-Joins on signatures first count keys alone (narrow rows, combined map-side). Keys counted twice or more set
+Joins on signatures first count keys alone (narrow rows). Keys counted twice or more set
 bits of one bitmap of fixed size, which is small enough to broadcast whatever the corpus; the second pass then
 emits only keys that may recur. When the corpus outgrows the bitmap it lets more keys through, never fewer.
 """
@@ -18,8 +18,12 @@ _SHIFTS = (0, 29)
 
 
 def recurring(keys: DataFrame, key: str) -> Broadcast:
-    """The bitmap of the keys that ``keys`` holds in two or more rows."""
-    twice = keys.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    """The bitmap of the keys that ``keys`` holds in two or more rows.
+
+    Almost all keys are distinct, so they are dealt as they are, not combined before; callers send a key
+    that recurs within a batch no more than twice, which keeps even the commonest key short.
+    """
+    twice = keys.repartition(key).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
     bits = (1 << 27) - 1
     spots = F.explode(F.array(*[F.shiftrightunsigned(key, s).bitwiseAND(F.lit(bits)).cast("int") for s in _SHIFTS]))
     words = twice.select(spots.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("set"))
