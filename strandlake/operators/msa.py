@@ -36,7 +36,7 @@ def columns(snps: DataFrame, samples: DataFrame, reference: DataFrame, gaps: Dat
     if core_only:
         bad = out.where("ch = '-'").select("chrom", "pos1").distinct()
         out, sites = out.join(bad, ["chrom", "pos1"], "left_anti"), sites.join(bad, ["chrom", "pos1"], "left_anti")
-    return out.union(sites.select(F.lit("reference").alias("sample"), "chrom", "pos1", "ch"))
+    return out.select("sample", "chrom", "pos1", "ch").union(sites.select(F.lit("reference").alias("sample"), "chrom", "pos1", "ch"))
 
 
 def numbered(cells: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def pair_files(files: DataFrame) -> DataFrame:
 def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``file, ordinal, name, seq, qual`` of four-line records. A file is one task (compressed text cannot be split); order is kept."""
     schema = "file string, ordinal bigint, name string, seq string, qual array<int>"
-    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def _whole(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
 
 
 def fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -152,7 +152,7 @@ def parse_newick(text: str) -> list[tuple[int, int | None, str, float | None]]:
 
 def newick(spark: SparkSession, path: str) -> DataFrame:
     """``node, parent, label, edge_length`` of one tree; a tree has few nodes and is read on the driver."""
-    text = spark.read.option("wholetext", True).text(path).first()[0]
+    text = spark.read.text(path, wholetext=True).first()[0]
     return tree_table(spark, parse_newick(text))
 
 
