@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -66,3 +67,9 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.glob("strandlake/**/*.py")):
             z.write(p, p.relative_to(root))
     sc.addPyFile(str(packed))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of tables that are no longer referred to: its cleaner acts when the driver's JVM collects."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
