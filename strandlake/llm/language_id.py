@@ -75,8 +75,10 @@ def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None,
         for batch in batches:
             data, off = tv.string_bytes(batch.column("text"))
             n = len(off) - 1
-            letters = np.concatenate(([0], np.cumsum(plain[data])))
-            known = (letters[off[1:]] > letters[off[:-1]]) & bool(names)
+            known = np.zeros(n, bool)
+            for i, j in tv.blocks(off, ppm.BLOCK) if names else []:
+                letters = np.concatenate(([0], np.cumsum(plain[data[off[i] : off[j]]], dtype=np.int32)))
+                known[i:j] = letters[off[i + 1 : j + 1] - off[i]] > letters[off[i:j] - off[i]]
             for i in np.flatnonzero(~known & (np.diff(off) > 0)) if names else []:
                 known[i] = bool(letter.search(bytes(data[off[i] : off[i + 1]]).decode("utf-8", "replace")))
             best, score = np.zeros(n, int), np.zeros(n)
