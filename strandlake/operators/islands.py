@@ -59,12 +59,12 @@ def assembly_regions(ranges: DataFrame, keys: Sequence[str], max_gap: int = 10_0
     far = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
     x = ranges.withColumn("_new", F.when(F.col("start") - far < max_gap, 0).otherwise(1))
     x = x.withColumn("_g", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    x = x.groupBy(*keys, "_g").agg(F.greatest(F.lit(0), F.min("start") - pad).alias("s"), (F.max("end") + pad).alias("e")).drop("_g")
-    k = F.ceil((F.col("e") - F.col("s")) / F.lit(most)).cast("int")
-    x = x.select(*keys, "s", "e", k.alias("k")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("piece"))
-    step = (F.col("e") - F.col("s")) / F.col("k")
-    start = F.floor(F.col("s") + F.col("piece") * step) - F.when(F.col("piece") > 0, overlap).otherwise(0)
-    return x.select(*keys, "piece", start.cast("bigint").alias("start"), F.floor(F.col("s") + (F.col("piece") + 1) * step).cast("bigint").alias("end"))
+    x = x.groupBy(*keys, "_g").agg(F.greatest(F.lit(0), F.min("start") - pad).alias("_s"), (F.max("end") + pad).alias("_e")).drop("_g")
+    k = F.ceil((F.col("_e") - F.col("_s")) / F.lit(most)).cast("int")
+    x = x.select(*keys, "_s", "_e", k.alias("_k")).select("*", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("piece"))
+    step = (F.col("_e") - F.col("_s")) / F.col("_k")
+    start = F.floor(F.col("_s") + F.col("piece") * step) - F.when(F.col("piece") > 0, overlap).otherwise(0)
+    return x.select(*keys, "piece", start.cast("bigint").alias("start"), F.floor(F.col("_s") + (F.col("piece") + 1) * step).cast("bigint").alias("end"))
 
 
 def binned_ambiguous(pids: DataFrame, keys: Sequence[str], pos: str, pid: str, least: float, step: int) -> DataFrame:

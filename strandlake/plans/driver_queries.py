@@ -409,3 +409,89 @@ def sample_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem")
     a, b = (l.where(F.col("l_linestatus") == s).select(F.col("l_returnflag").alias("sample")).distinct() for s in "OF")
     return a.intersect(b).withColumn("side", F.lit("both")).union(a.subtract(b).withColumn("side", F.lit("a"))).union(b.subtract(a).withColumn("side", F.lit("b")))
+
+
+@query("""select p_partkey, greatest(b_start, 500) as clip_start, least(b_end, 1500) as clip_end,
+ case when b_start >= 500 and b_end <= 1500 then 'complete' when b_start < 500 and b_end > 1500 then 'span' when b_start < 500 then 'left' else 'right' end as shown
+ from (select p_partkey, p_partkey as b_start, p_partkey + p_size * 20 as b_end from part) where b_start < 1500 and b_end > 500""")
+def window_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of a view, clipped."""
+    f = table(spark, sf_dir, "part").select("p_partkey", F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size") * 20).alias("end"))
+    return intervals.window_view(f, 500, 1500).select("p_partkey", "clip_start", "clip_end", "shown")
+
+
+@query("""with r as (select p_partkey, p_partkey % 1000 as s, p_partkey % 1000 + p_size as e from part) select p_partkey from r where (s < 30 and e > 0) or (s < 1000 and e > 985)""")
+def circular_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that touch a range across the end of a circular chromosome."""
+    r = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 1000).alias("start0"), (F.col("p_partkey") % 1000 + F.col("p_size")).alias("end0"))
+    return intervals.circular_reads(r, 1000, 5, 10, 20).select("p_partkey")
+
+
+@query(f"""with h as (select {_H} as x, count(*) as total from events group by 1) select b.x, coalesce(total, 0) as total from (select unnest(generate_series(473400, 473499, 3)) as x) b left join h using (x)""")
+def plot_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled values of a view, zero where there are none."""
+    h = table(spark, sf_dir, "events").groupBy(hours().alias("at")).agg(F.count("*").alias("total"))
+    return signal.plot_values(h, 473400, 473500, 3).withColumnRenamed("at", "x")
+
+
+@query("""with r as (select n_nationkey % 5 as k, s_suppkey * 997 as start, s_suppkey * 997 + 100 + s_suppkey % 7 * 2000 as stop from supplier join nation on s_nationkey = n_nationkey),
+g as (select *, case when start - max(stop) over (partition by k order by start, stop rows between unbounded preceding and 1 preceding) < 4000 then 0 else 1 end as new from r),
+m as (select k, greatest(0, min(start) - 500) as s, max(stop) + 500 as e from (select *, sum(new) over (partition by k order by start, stop rows unbounded preceding) as i from g) group by k, i),
+p as (select *, cast(ceil((e - s) / 20000.0) as bigint) as n from m), x as (select *, unnest(generate_series(0, n - 1)) as piece from p)
+select k, piece, cast(floor(s + piece * ((e - s) / n::double)) as bigint) - case when piece > 0 then 100 else 0 end as start, cast(floor(s + (piece + 1) * ((e - s) / n::double)) as bigint) as stop from x""")
+def assembly_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions joined over gaps, padded and cut into overlapping pieces."""
+    s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    k = F.col("s_suppkey")
+    r = s.select((F.col("n_nationkey") % 5).alias("k"), (k * 997).alias("start"), (k * 997 + 100 + k % 7 * 2000).alias("end"))
+    return islands.assembly_regions(r, ["k"], 4000).select("k", F.col("piece").cast("bigint").alias("piece"), "start", "end")
+
+
+@query("""with g as (select p_brand, p_partkey, row_number() over (order by p_retailprice, p_partkey) as rank from part where p_size < 10),
+x as (select *, rank - lag(rank) over (partition by p_brand order by rank) as a, lead(rank) over (partition by p_brand order by rank) - rank as b from g)
+select p_brand, p_partkey, rank, least(coalesce(a, 4), coalesce(b, 4)) as gap from x where least(coalesce(a, 4), coalesce(b, 4)) <= 3""")
+def tandem_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of a group within three ranks of another."""
+    p = table(spark, sf_dir, "part").where("p_size < 10")
+    f = p.select(F.lit("c").alias("chrom"), F.col("p_partkey").alias("locus"), F.col("p_retailprice").alias("start0"), F.col("p_partkey").alias("end0"))
+    out = repeats.tandem(f, p.select(F.col("p_partkey").alias("node"), F.col("p_brand").alias("component")))
+    return out.select(F.col("component").alias("p_brand"), F.col("locus").alias("p_partkey"), F.col("rank").cast("bigint").alias("rank"), F.col("gap").cast("bigint").alias("gap"))
+
+
+@query("""with c as (select distinct l_returnflag as sample, l_partkey as pos, l_linestatus as alt from lineitem where l_quantity > 48), d as (select distinct l_returnflag as sample, l_partkey as pos, l_linestatus as alt from lineitem where l_quantity < 6),
+v as (select distinct l_returnflag as sample, l_partkey as pos from lineitem where l_quantity between 10 and 15), f as (select sample, pos, list(alt) as alts from d group by 1, 2)
+select c.sample, c.pos, c.alt, case when alts is not null and len(alts) > 1 then 'ambiguous' when list_contains(alts, alt) then 'corroborated' when alts is not null or v.pos is not null then 'negative' else 'absent' end as status
+from c left join f on c.sample = f.sample and c.pos = f.pos left join v on c.sample = v.sample and c.pos = v.pos""")
+def corroborated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls against another method's."""
+    l = table(spark, sf_dir, "lineitem")
+    cols = [F.col("l_returnflag").alias("sample"), F.lit("c").alias("chrom"), F.col("l_partkey").alias("pos1")]
+    take = lambda cond: l.where(cond).select(*cols, F.col("l_linestatus").alias("alt")).distinct()
+    out = variants.corroborate(take("l_quantity > 48"), take("l_quantity < 6"), take("l_quantity between 10 and 15"))
+    return out.select("sample", F.col("pos1").alias("pos"), "alt", "status")
+
+
+@query(f"""with d as (select item_id, {_DNA_SQL} as seq from benchmark), x as (select item_id, substr(seq, 1, cast(item_id % 3 + 1 as bigint)) as ref, substr(seq, 1, cast(item_id % 2 + 1 as bigint)) as alt from d where length(seq) > 4)
+select item_id, case when s then item_id + 1 else item_id end as pos, case when not s then ref when length(ref) > 1 then substr(ref, 2) else '-' end as ref_, case when not s then alt when length(alt) > 1 then substr(alt, 2) else '-' end as alt_
+from (select *, (length(ref) > 1 or length(alt) > 1) and substr(ref, 1, 1) = substr(alt, 1, 1) as s from x)""")
+def indel_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """indels without their shared first base."""
+    x = _dna(spark, sf_dir).where(F.length("seq") > 4)
+    x = x.select("item_id", F.expr("substring(seq, 1, cast(item_id % 3 + 1 as int))").alias("ref"), F.expr("substring(seq, 1, cast(item_id % 2 + 1 as int))").alias("alt"))
+    x = x.select("item_id", fs.normalise_indel(F.col("item_id"), F.col("ref"), F.col("alt")).alias("n"))
+    return x.select("item_id", F.col("n.pos1").alias("pos"), F.col("n.ref").alias("ref_"), F.col("n.alt").alias("alt_"))
+
+
+@query(f"""with d as (select item_id, {_DNA_SQL} as seq from benchmark), t as (select item_id, col, substr(seq, col, 1) as ch from (select *, unnest(generate_series(1, 40)) as col from d where length(seq) >= 40 and item_id < 5)),
+o as (select col, ch as og from t where item_id = 0), v as (select t.item_id, t.col from t join o using (col) where t.item_id > 0 and ch <> og),
+c as (select unnest(['AB', 'CD', 'ABCD', 'A', 'B', 'C', 'D']) as node, unnest(['ABCD', 'ABCD', null, 'AB', 'AB', 'CD', 'CD']) as parent),
+f as (select node, parent, col from v join c on contains(node, substr('ABCD', cast(item_id as bigint), 1)) group by 1, 2, 3 having count(*) = length(node)),
+top as (select col, node from f where not exists (select 1 from f g where g.node = f.parent and g.col = f.col))
+select cast(col as integer) as col, node, count(*) over (partition by col) as n_clades from top""")
+def homoplasies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest clades that differ from the outgroup whole, for each column."""
+    d = _dna(spark, sf_dir).where("length(seq) >= 40 and item_id < 5")
+    m = d.select(F.element_at(F.array(*map(F.lit, "OABCD")), (F.col("item_id") + 1).cast("int")).alias("sample"), F.posexplode(F.split(F.substring("seq", 1, 40), "")).alias("p", "ch"))
+    m = m.where("ch <> ''").select("sample", (F.col("p") + 1).alias("col"), "ch")
+    clades = spark.createDataFrame([(n, p, list(n)) for n, p in (("AB", "ABCD"), ("CD", "ABCD"), ("ABCD", None), ("A", "AB"), ("B", "AB"), ("C", "CD"), ("D", "CD"))], "node string, parent string, tips array<string>")
+    return msa.derived_clades(m, clades, "O").select("col", "node", "n_clades")
