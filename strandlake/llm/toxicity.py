@@ -4,7 +4,7 @@ Words are read as insult (weights learned from labels), threat, target, negation
 transducers for negation, reported speech, targets and threats run over the symbols of one clause and are
 composed: they decide into which channel (plain, targeted, negated, reported, threat) the weight of an insult
 or threat goes. Only clauses that hold an insult or threat are read; an Aho-Corasick scan finds them. A
-logistic layer over the channel sums, fitted on the same labelled rows, gives the score.
+logistic layer over the channel sums and the text's size, fitted on the same labelled rows, gives the score.
 
 Insult patterns (whole words or word beginnings) are weighed by distinct clauses, so copies of a document do
 not make its rare words look toxic.
@@ -39,6 +39,8 @@ TARGET = "you your yourself u they them he she du dich dir ihr euch sie tu te to
 NEGATION = "not no never isn't aren't don't nicht kein keine nie pas jamais aucun nunca jamás ni".split()
 REPORT = "said says say told quoted wrote claimed called sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó".split()
 SEED_INSULTS = "idiot moron scum".split()
+#: Characters in a unit of a text's size, which tells chance matches of long texts from many matches in a short one.
+SIZE_UNIT = 500
 CHANNELS = ("plain", "targeted", "negated", "reported", "threat")
 _CLAUSE = re.compile(r"[.!?;:\n|]+")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -49,6 +51,7 @@ class Grammar:
     words: dict[str, float] = field(default_factory=lambda: dict.fromkeys(SEED_INSULTS, 4.0))
     prefixes: dict[str, float] = field(default_factory=dict)
     coef: tuple[float, ...] = (1.5, 1.5, 1.0, 1.0, 1.5)
+    size_coef: float = 0.0
     intercept: float = -3.0
 
 
@@ -179,9 +182,10 @@ def _channels(texts: DataFrame, grammar: Grammar, keep: str, kept_type: str) ->
         m = Matcher(shared.value)
         for batch in batches:
             x = np.array([m.channels(t.as_py() or "") for t in batch.column("text")], float).reshape(-1, len(CHANNELS))
-            yield pa.RecordBatch.from_arrays([batch.column(keep), *[pa.array(x[:, i]) for i in range(len(CHANNELS))]], names=[keep, *CHANNELS])
+            size = pa.array([len(t.as_py() or "") / SIZE_UNIT for t in batch.column("text")], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(keep), *[pa.array(x[:, i]) for i in range(len(CHANNELS))], size], names=[keep, *CHANNELS, "size"])
 
-    return texts.select(keep, "text").mapInArrow(run, f"{keep} {kept_type}, " + ", ".join(f"{c} double" for c in CHANNELS))
+    return texts.select(keep, "text").mapInArrow(run, f"{keep} {kept_type}, " + ", ".join(f"{c} double" for c in (*CHANNELS, "size")))
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -202,9 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     words, prefixes = _patterns(sample)
     g = Grammar(words or Grammar().words, prefixes)
     found = _channels(sample, g, "toxic", "int").toArrow()
-    x = np.log1p(np.column_stack([found.column(c).to_numpy() for c in CHANNELS]))
+    x = np.log1p(np.column_stack([found.column(c).to_numpy() for c in (*CHANNELS, "size")]))
     w = _fit(x, found.column("toxic").to_numpy().astype(float))
-    g.coef, g.intercept = tuple(np.maximum(w[1:], 0.0)), float(w[0] - math.log(share[1] / share[0]))
+    g.coef, g.size_coef = tuple(np.maximum(w[1:-1], 0.0)), float(min(w[-1], 0.0))
+    g.intercept = float(w[0] - math.log(share[1] / share[0]))
     return g
 
 
@@ -214,5 +219,6 @@ def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
     z = F.lit(grammar.intercept)
     for c, w in zip(CHANNELS, grammar.coef, strict=True):
         z = z + F.lit(float(w)) * F.log1p(c)
+    z = z + F.lit(grammar.size_coef) * F.log1p("size")
     found = _channels(texts, grammar, "doc_id", "bigint").withColumn("score", 1 / (1 + F.exp(-z)))
     return found.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *CHANNELS)
