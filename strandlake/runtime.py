@@ -73,3 +73,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of tables that are no longer referred to: its cleaner acts when the driver's JVM collects."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+#: Bytes and rows of an Arrow batch for a Python worker. Texts can be long; batches of this size bound what a worker holds.
+BATCH_BYTES, BATCH_ROWS = "8m", "2000"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in smaller batches than Spark does by default."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
