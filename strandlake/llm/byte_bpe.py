@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
+from strandlake.runtime import bounded_batches
+
 #: Pieces kept by one Python worker, and the longest piece that is kept.
 CACHE_PIECES, CACHE_LENGTH = 200_000, 48
 #: Characters of text that are cut into pieces at once.
@@ -127,6 +129,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
 
     The rank file (a fixed vocabulary) is read on the driver and broadcast; executors need no file.
     """
+    bounded_batches(docs.sparkSession)
     with open(ranks_path, "rb") as f:
         ranks_file = f.read()
     shared, key = docs.sparkSession.sparkContext.broadcast((ranks_file, pattern)), zlib.crc32(ranks_file + pattern.encode())

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import ppm
 from strandlake.llm import textvec as tv
+from strandlake.runtime import bounded_batches
 
 #: Bytes of context, contexts kept, labelled rows learned from for each language (expected, by hash of the id), and languages.
 DEPTH, CONTEXTS, ROWS_PER_LANG, MOST_LANGS = 4, 6000, 500, 200
@@ -65,6 +66,7 @@ def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None,
     """``doc_id, lang_pred, score`` and the columns in ``keep``; the score is the posterior of the language under equal priors."""
     kept = [c for c in keep if c not in ("doc_id", "text", "lang_pred", "score")] + ["text"] * ("text" in keep)
     types = dict(docs.dtypes)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((langs, automaton))
     letter = regex.compile(r"\p{L}")
 
