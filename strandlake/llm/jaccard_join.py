@@ -14,8 +14,8 @@ every Jaccard value exactly: in blocks of bounded size, as products of matrices,
 made and no task holds a whole group. Components lose no link.
 
 Defined cases: texts without words (null or empty) have empty sets, link with nothing and are their own
-component; texts of fewer words than n are one n-gram; repeated rows and equal sets are linked; extra columns are
-ignored; an empty table gives an empty result.
+component; texts of fewer words than n are one n-gram; repeated rows and equal sets are linked; a row without an
+id is linked with equal sets only; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +35,11 @@ from strandlake.llm import seen_twice
 from strandlake.llm import textvec as tv
 from strandlake.llm.forest import forest
 from strandlake.operators.graph import connected_components
-from strandlake.runtime import cut, rows_with
+from strandlake.runtime import bounded_batches, cut, hinted, release, rows_with
 
-#: Growth of a size band; cost of one signature in units of a false pair; sets that one block of comparisons holds;
+#: Growth of a size band; spare segments as a share of those needed; cost of one signature in units of a false pair; sets that one block of comparisons holds;
 #: members of a leader compared in one block; columns of a product.
-BAND_GROWTH, SIGNATURE_COST, SETS, MEMBERS, COLUMNS = 1.5, 0.05, 500, 1000, 4096
+BAND_GROWTH, SPARE, SIGNATURE_COST, SETS, MEMBERS, COLUMNS = 1.5, 0.1, 0.05, 500, 600, 2048
 BLOCK = 1 << 21
 
 
@@ -47,8 +47,10 @@ BLOCK = 1 << 21
 class Plan:
     """Upper ends of the bands, and for each its number of segments, whether they take one-deletion neighbourhoods, and how many are spare.
 
-    With ``spare`` segments beyond what the pigeonhole needs, a set with at most as many empty segments need not
-    be indexed under these: two sets that agree on enough segments then agree on one that is not empty.
+    With ``spare`` segments beyond what the pigeonhole needs, two sets that link agree on at least one more than that.
+    So a set may leave out as many signatures as are spare, as long as a rule that looks at the signature alone
+    says which: those of empty segments first, then those that several sets share. A set that has more of them than are
+    spare keeps all. What two linked sets have in common beyond these is kept by both.
     """
 
     ends: np.ndarray
@@ -67,15 +69,18 @@ class Plan:
             apart = both * (100 - percent) // (100 + percent)  # most n-grams by which two linked sets differ
             n, mid = sets_in.get(b, 0) + sets_in.get(b + 1, 0), (lo + hi) / 2
             equal, half = apart + 1, -(-(apart + 1) // 2)
-            # signatures, and chance agreement of segments that hold nothing (or one n-gram at most)
-            cost_equal = SIGNATURE_COST * n * equal + n * n / 2 * equal * math.exp(-2 * min(300, lo / equal))
+            extra = 0
+            if equal > 2:  # as many as sets of the band have empty segments, and some
+                while extra < equal and extra < SPARE * equal + 1.5 * (equal + extra) * math.exp(-lo / (equal + extra)):
+                    extra += 1
+            # signatures, and chance agreement of segments that hold nothing (or one n-gram at most) and are not left out
+            chance = 0 if extra else equal * math.exp(-2 * min(300, lo / equal))
+            cost_equal = SIGNATURE_COST * n * (equal + extra) + n * n / 2 * chance
             g = min(300, lo / half)
             cost_half = SIGNATURE_COST * n * (half + mid) + n * n / 2 * half * ((1 + g) * math.exp(-g)) ** 2
             deletions.append(cost_half < cost_equal)
-            extra = 0
-            if not deletions[-1] and equal > 2:  # as many as sets of the band have empty segments, with a margin
-                while extra < equal and extra < 1 + 1.5 * (equal + extra) * math.exp(-lo / (equal + extra)):
-                    extra += 1
+            if deletions[-1]:
+                extra = 0
             spare.append(extra)
             segments.append(half if deletions[-1] else equal + extra)
         return cls(ends, np.array(segments), np.array(deletions), np.array(spare), percent)
@@ -102,8 +107,8 @@ def fingerprint(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def signatures(s: np.ndarray, plan: Plan) -> np.ndarray:
-    """Signatures of a set in its own band and the lower bands that it can match."""
+def signatures(s: np.ndarray, plan: Plan) -> list[tuple[np.ndarray, int, int]]:
+    """Signatures of a set in its own band and the lower bands that it can match, each band with what is left to spare."""
     out = []
     b = int(np.searchsorted(plan.ends, len(s)))
     least = -(-plan.percent * len(s) // 100)
@@ -117,13 +122,17 @@ def signatures(s: np.ndarray, plan: Plan) -> np.ndarray:
         edge = np.searchsorted(seg[order], np.arange(m + 1))
         total, size = run[edge[1:]] - run[edge[:-1]], (edge[1:] - edge[:-1]).astype(np.uint64)
         tag = tv.mix(salt + np.arange(1, m + 1).astype(np.uint64))
-        whole = tv.mix(total ^ tag) + size
+        whole, room = tv.mix(total ^ tag) + size, int(plan.spare[b])
         empty = size == 0
-        out.append(whole[~empty] if 0 < empty.sum() <= plan.spare[b] else whole)
+        if empty.sum() <= room:
+            whole, room = whole[~empty], room - int(empty.sum())
+        else:
+            room = 0
         if plan.deletions[b]:
-            out.append(tv.mix((total[seg] - h) ^ tag[seg]) + size[seg] - np.uint64(1))
+            whole = np.unique(np.concatenate((whole, tv.mix((total[seg] - h) ^ tag[seg]) + size[seg] - np.uint64(1))))
+        out.append((whole.view(np.int64), b, room))
         b -= 1
-    return np.unique(np.concatenate(out)).view(np.int64)
+    return out
 
 
 def _per_row(docs: DataFrame, n: int) -> DataFrame:
@@ -147,7 +156,7 @@ def _signature_keys(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for b in batches:
-            own = [signatures(s, p) for s in sets_of(*tv.string_bytes(b.column("text")), n) if len(s)]
+            own = [k for s in sets_of(*tv.string_bytes(b.column("text")), n) if len(s) for k, _, _ in signatures(s, p)]
             if own:
                 keys, times = np.unique(np.concatenate(own), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((keys, keys[times > 1])))], names=["sig"])
@@ -156,23 +165,27 @@ def _signature_keys(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
 
 
 def _signature_rows(docs: DataFrame, n: int, plan: Plan, recurring: Broadcast) -> DataFrame:
-    """``sig, fp`` of every set, signatures that may recur only."""
+    """``sig, fp, band, room`` of every set, signatures that may recur only."""
     shared = docs.sparkSession.sparkContext.broadcast(plan)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for b in batches:
-            sig, fp = [], []
+            sig, fp, band, room = [], [], [], []
             for s in sets_of(*tv.string_bytes(b.column("text")), n):
                 if len(s):
-                    own = signatures(s, p)
-                    sig.append(own[seen_twice.may_recur(recurring.value, own)])
-                    fp.append(fingerprint(s))
+                    for keys, at, left in signatures(s, p):
+                        sig.append(keys[seen_twice.may_recur(recurring.value, keys)])
+                        fp.append(fingerprint(s))
+                        band.append(at)
+                        room.append(left)
             if sig:
                 times = [len(x) for x in sig]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig)), pa.array(np.repeat(np.array(fp, np.int64), times))], names=["sig", "fp"])
+                again = lambda v, kind: pa.array(np.repeat(np.array(v, kind), times))  # noqa: B023, E731
+                cols = [pa.array(np.concatenate(sig)), again(fp, np.int64), again(band, np.int32), again(room, np.int32)]
+                yield pa.RecordBatch.from_arrays(cols, names=["sig", "fp", "band", "room"])
 
-    return docs.select("text").mapInArrow(run, "sig bigint, fp bigint")
+    return docs.select("text").mapInArrow(run, "sig bigint, fp bigint, band int, room int")
 
 
 def _set_rows(docs: DataFrame, n: int) -> DataFrame:
@@ -195,18 +208,23 @@ def _set_rows(docs: DataFrame, n: int) -> DataFrame:
 def _compared(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, schema: str, found: Callable[[list], pa.RecordBatch]) -> DataFrame:
     """What ``found`` makes of the compared pairs ``(a, b)``, given as ``(a, b, set of a, set of b)``.
 
-    The nodes ``b`` are dealt into blocks; each set of a ``b`` travels once, and each set of an ``a`` once to
-    every block that asks for it. Sets are made anew from the first text of each node.
+    The nodes ``b`` are dealt into blocks, those with the same first lead together unless they are many; each
+    set of a ``b`` travels once, and each set of an ``a`` once to every block that asks for it. Sets are made anew from the
+    first text of each node.
     """
-    blocks = max(1, -(-pairs.select("b").distinct().count() // SETS))
-    p = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int"))
+    first = pairs.groupBy("b").agg(F.min("a").alias("p"))
+    parts = first.groupBy("p").agg(F.ceil(F.count("*") / SETS).cast("int").alias("parts"))
+    blocks = max(1, 4 * (first.count() // SETS))  # more than the sets need, as first leads are dealt whole
+    own = first.join(parts, "p").select("b", F.pmod(F.xxhash64("p", F.pmod(F.xxhash64("b"), F.col("parts"))), F.lit(blocks)).cast("int").alias("block"))
+    own = hinted(own)
+    p = cut(pairs.join(own, "b").select("block", "a", "b"))
     rep = nodes.select("fp", F.col("rep").alias("doc_id"))
     texts = lambda c: rows_with(base, rep.join(pairs.select(F.col(c).alias("fp")).distinct(), "fp", "left_semi").select("doc_id"), "doc_id")
-    block_b = F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int")
     none, null = F.lit(None).cast("binary"), F.lit(0).cast("bigint")
-    rows = _set_rows(texts("a"), n).join(p.select("block", F.col("a").alias("fp")).distinct(), "fp").select("block", F.lit(0).alias("kind"), F.col("fp").alias("a"), null.alias("b"), "grams")
+    leads = hinted(p.select("block", F.col("a").alias("fp")).distinct())
+    rows = _set_rows(texts("a"), n).join(leads, "fp").select("block", F.lit(0).alias("kind"), F.col("fp").alias("a"), null.alias("b"), "grams")
     rows = rows.union(p.select("block", F.lit(1), "a", "b", none))
-    rows = rows.union(_set_rows(texts("b"), n).select(block_b, F.lit(2), null, F.col("fp"), "grams"))
+    rows = rows.union(_set_rows(texts("b"), n).join(own.withColumnRenamed("b", "fp"), "fp").select("block", F.lit(2), null, F.col("fp"), "grams"))
     rows = rows.repartition(max(blocks, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block").sortWithinPartitions("block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,6 +243,9 @@ def _compared(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, schem
                     done.add(b)
                     y = np.frombuffer(grams.as_py(), np.uint64)
                     out += [(a, b, leads[a], y) for a in asked[b] if a in leads]
+                    if len(out) > 1000:
+                        yield found(out)
+                        out = []
             if out:
                 yield found(out)
 
@@ -294,6 +315,7 @@ def _block_links(t: pa.Table, percent: int) -> pa.Table:
 
 def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; documents link when 100 * intersection >= percent * union."""
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = cut(_per_row(base, n))
     nodes = rows.where("fp is not null").groupBy("fp", "n").agg(F.min("doc_id").alias("rep"))
@@ -304,21 +326,34 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         band = band + F.when(F.col("n") > int(e), 1).otherwise(0)
     plan = Plan.of(int(largest), percent, {r.band: r["count"] for r in nodes.groupBy(band.alias("band")).count().collect()})
 
-    recurring = seen_twice.recurring(_signature_keys(base, n, plan), "sig")
-    some = cut(_signature_rows(base, n, plan, recurring).distinct())
-    leads = some.groupBy("sig").agg(F.min("fp").alias("a"), F.max("fp").alias("hi")).where("a <> hi").select("sig", "a")
-    tried = cut(some.join(leads, "sig").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
-    links = cut(_linked(tried, base, nodes, n, percent))
+    copies = rows.join(nodes.select("fp", "rep"), "fp").where("doc_id <> rep").select("doc_id").distinct()
+    texts = base.join(hinted(copies), "doc_id", "left_anti").select("text")
+    recurring = seen_twice.recurring(_signature_keys(texts, n, plan), "sig")
+    release(docs.sparkSession)
+    every = _signature_rows(texts, n, plan, recurring).distinct().persist(StorageLevel.DISK_ONLY)
+    several = every.groupBy("sig").agg(F.count("*").alias("holders")).where("holders > 2").select("sig", F.lit(True).alias("several"))
+    marked = every.join(several, "sig", "left")
+    spared = marked.where("several").groupBy("fp", "band").agg(F.count("*").alias("n"), F.first("room").alias("room")).where("n <= room").select("fp", "band", F.lit(True).alias("spared"))
+    some = marked.join(spared, ["fp", "band"], "left").where("several is null or spared is null").select("sig", "fp").persist(StorageLevel.DISK_ONLY)
+    leads = some.groupBy("sig").agg(F.min("fp").alias("a"), F.max("fp").alias("hi"), (F.count("*") > 2).alias("more")).where("a <> hi").select("sig", "a", "more")
+    tried = cut(some.join(leads, "sig").where("fp <> a").groupBy("a", F.col("fp").alias("b")).agg(F.bool_or("more").alias("more")))
+    some.unpersist()
+    every.unpersist()
+    del several, marked, spared, some, every, leads
+    release(docs.sparkSession)
+    links = cut(_linked(tried.select("a", "b"), base, nodes, n, percent))
+    release(docs.sparkSession)
     comp = connected_components(links).select(F.col("node").alias("fp"), "component")
 
-    known = tried.join(comp.withColumnRenamed("fp", "b"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("component"))
+    # two members meet under a leader only in a group of three and more
+    known = tried.where("more").join(comp.withColumnRenamed("fp", "b"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("component"))
     sizes = known.groupBy("a").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    open_ = cut(known.join(sizes.select("a", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")), "a"))
+    open_ = hinted(known.join(sizes.select("a", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")), "a"))
     if not open_.limit(1).count():
         return _finish(rows, comp)
     diffs = _differences(open_.select("a", "b"), base, nodes, n)
     own = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
-    spread = open_.join(diffs, ["a", "b"]).select("a", "b", "n", "component", "diff", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = diffs.join(open_, ["a", "b"]).select("a", "b", "n", "component", "diff", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.withColumn("cell", F.array(F.least("own", "other"), F.greatest("own", "other")))
     more = spread.groupBy("a", "cell").applyInArrow(lambda t: _block_links(t, percent), "a bigint, b bigint")
     every = connected_components(links.union(more))
