@@ -5,6 +5,9 @@ counted from text, shorter ones are sums of these. Contexts that occur most beco
 automaton whose state is the longest known context of the history. For each state the probability of
 every byte is worked out once, with escapes (method C) down the chain of shorter contexts and exclusion
 of the bytes that a longer context already offered, so scoring is one table lookup for each byte.
+
+Where every context counts, no automaton is built: ``levels`` has the sums that the same escapes need for any part
+of the gram table that holds whole contexts, and ``gram_logs`` works out single grams from them.
 """
 
 from __future__ import annotations
@@ -56,6 +59,61 @@ def count_contexts(keyed: DataFrame, depth: int, groups: list[str], most: int) -
     return contexts, every.join(F.broadcast(wanted), ["k", "ctx"]).select(*groups, "k", "ctx", "sym", "n").toArrow()
 
 
+@dataclass
+class Level:
+    """Grams of one order and their counts, sorted; of each of their contexts the sum, the kinds, and the sum of its symbols in the next shorter context."""
+
+    order: int
+    gram: np.ndarray
+    n: np.ndarray
+    ctx: np.ndarray
+    total: np.ndarray
+    kinds: np.ndarray
+    shorter: np.ndarray
+
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        return _at(self.gram, self.n, keys)
+
+
+def _at(known: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(keys))
+    i = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[i] == keys, values[i], 0)
+
+
+def levels(key: np.ndarray, n: np.ndarray, orders: range, below: Level | None = None) -> list[Level]:
+    """Levels of ascending ``orders`` from gram counts; ``below`` is the level before the first, if it is not of order 0."""
+    out = []
+    for k in orders:
+        gram, own = np.unique(key & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        count = np.bincount(own, n, len(gram))
+        first = np.flatnonzero(np.diff(gram >> 8, prepend=-1))
+        less = below.count(gram & ((1 << 8 * k) - 1)) if below is not None else np.zeros(len(gram))
+        sums = [np.add.reduceat(x, first) if len(first) else x for x in (count, np.ones(len(gram)), less)]
+        below = Level(k, gram, count, gram[first] >> 8, *sums)
+        out.append(below)
+    return out
+
+
+def gram_logs(known: list[Level], key: np.ndarray) -> np.ndarray:
+    """log10 probability of the last byte of each gram after the bytes before it; ``known`` has all orders from 0."""
+    p, mass, done = np.zeros(len(key)), np.ones(len(key)), np.zeros(len(key), bool)
+    gone, gone_kinds = np.zeros(len(key)), np.zeros(len(key))
+    for level in reversed(known):
+        ctx = (key >> 8) & ((1 << 8 * level.order) - 1)
+        total, kinds = _at(level.ctx, level.total, ctx), _at(level.ctx, level.kinds, ctx)
+        live, live_kinds = total - gone, kinds - gone_kinds
+        whole = np.maximum(live + live_kinds, 1)
+        n = level.count(key & ((1 << 8 * (level.order + 1)) - 1))
+        hit = ~done & (n > 0)
+        p[hit] = (mass * n / whole)[hit]
+        done |= hit
+        mass = np.where(live > 0, mass * live_kinds / whole, mass)
+        gone, gone_kinds = _at(level.ctx, level.shorter, ctx), kinds
+    return np.log10(np.where(done, p, mass / max(256 - len(known[0].gram), 1)))
+
+
 @dataclass
 class Automaton:
     """``sym``: class of each byte; ``move``: next state, flat; ``logp``: log10 probability, flat by (state, class), a column for each model."""

@@ -146,6 +146,32 @@ def test_lm_scores(spark, monkeypatch):
     assert lm_score.score(df.limit(0), df).count() == 0
 
 
+def test_lm_score_uses_every_context(spark, monkeypatch):
+    """Far more contexts than an automaton of fixed size holds, looked up locally and by key."""
+    r = random.Random(5)
+    text = lambda k: "".join(r.choice("abcdefghijklmnopqrstuvwxyz é") for _ in range(k))
+    texts = [text(1500) for _ in range(50)]
+    held = ["", "xx", text(80), texts[3][100:160] + text(30), "Ω漢" + texts[7][:40].upper()]
+    counts = {}
+    for t in texts:
+        raw = bytes([ppm.BEFORE]) * lm_score.DEPTH + t.encode() + bytes([ppm.END])
+        for i in range(lm_score.DEPTH, len(raw)):
+            for k in range(lm_score.DEPTH + 1):
+                own = counts.setdefault(raw[i - k : i], {})
+                own[raw[i]] = own.get(raw[i], 0) + 1
+    assert len(counts) > 60_000
+    learned = frame(spark, [(100 + i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(held + texts[:2])])
+    for hot in (0, 2000, 1_000_000):
+        monkeypatch.setattr(lm_score, "HOT_GRAMS", hot, raising=False)
+        got = {x.doc_id: x.score for x in lm_score.score(docs, learned).collect()}
+        for i, t in enumerate(held + texts[:2]):
+            raw, want = bytes([ppm.BEFORE]) * lm_score.DEPTH + t.translate(FOLD).encode() + bytes([ppm.END]), 0.0
+            for j in range(lm_score.DEPTH, len(raw)):
+                want += math.log10(slow_ppm(counts, None, lm_score.DEPTH, raw[:j], raw[j]))
+            assert abs(want - got[i]) < 1e-6 * max(1, abs(want)), (hot, i, want, got[i])
+
+
 def test_toxicity_grammar():
     g = toxicity.Matcher(toxicity.Grammar({"clown": 4.0}, {"foul": 3.0}))
     one = lambda t: dict(zip(toxicity.CHANNELS, g.channels(t), strict=True))
