@@ -128,6 +128,32 @@ def test_passages(spark):
     assert substring_dedup.passages(odd(spark)).count() == 0 and substring_dedup.passages(odd(spark).limit(0)).count() == 0
 
 
+def test_passages_whose_pieces_are_held_earlier(spark):
+    """A whole passage of which earlier documents hold pieces, also with holders of pieces in between."""
+    r = random.Random(12)
+    text = lambda k: [f"w{r.randrange(5000)}" for _ in range(k)]
+    p, q = text(60), text(90)
+    rows = [[], text(20) + p[:30] + text(20), text(20) + p[30:] + text(20), text(10) + p + text(10), text(15) + p + text(15)]
+    rows += [text(30) + p[:30] + text(9), p[30:] + text(40), text(7) + p + text(3)]
+    rows += [text(9) + q[:65] + text(9), text(9) + q + text(9), text(40) + q + text(40)]
+    rows += [["z"] * 130, text(3) + ["z"] * 400, text(49) + text(1) * 2]
+    docs = frame(spark, [(i, " ".join(w).upper() if i == 4 else " ".join(w), "en", "s", 0) for i, w in enumerate(rows)])
+    gone = {}
+    for x in substring_dedup.passages(docs).collect():
+        assert x.source_id < x.doc_id and x.n_words == x.end_word - x.start_word >= 50
+        if x.identity == 1.0 and x.end_word - x.start_word == x.source_end - x.source_start:
+            assert rows[x.doc_id][x.start_word : x.end_word] == rows[x.source_id][x.source_start : x.source_end]
+        gone.setdefault(x.doc_id, set()).update(range(x.start_word, x.end_word))
+    held: dict[tuple, int] = {}
+    for i, w in enumerate(rows):
+        for j in range(len(w) - 49):
+            if held.setdefault(tuple(w[j : j + 50]), i) < i:
+                assert gone.get(i, set()) >= set(range(j, j + 50)), (i, j)
+    assert set(gone) == {4, 7, 9, 10, 12}
+    left = {x.doc_id: x.text.split() for x in substring_dedup.without_repeats(docs.drop("spans_")).collect()}
+    assert left[4] == [w.upper() for w in rows[4][:15] + rows[4][75:]] and left[3] == rows[3]
+
+
 def test_chaining_is_best():
     """The Fenwick tree's chains against the quadratic recurrence."""
     r = random.Random(9)
