@@ -52,6 +52,19 @@ def gap_counts(cells: DataFrame) -> DataFrame:
     return cells.where("ch = '-'").groupBy("chrom", "pos1").agg(F.count("*").alias("samples"))
 
 
+def column_counts(sequences: DataFrame, seq: str) -> DataFrame:
+    """``col, gaps, letters``: gaps and kinds of letters in each column of the sequences, taken as padded with ``-`` to the longest.
+
+    Padding is counted, not made: rows between are one for each letter, whatever the longest sequence.
+    """
+    cells = sequences.select(F.posexplode(F.split(seq, "")).alias("p", "ch")).where("ch <> ''")
+    found = cells.groupBy((F.col("p") + 1).alias("col")).agg(
+        F.count_if(F.col("ch") != "-").alias("_filled"), F.count_distinct(F.when(F.col("ch") != "-", F.col("ch"))).alias("letters")
+    )
+    rows = sequences.agg(F.count(seq).alias("_rows"))
+    return found.crossJoin(F.broadcast(rows)).select("col", (F.col("_rows") - F.col("_filled")).alias("gaps"), "letters")
+
+
 def derived_clades(msa: DataFrame, clades: DataFrame, outgroup: str) -> DataFrame:
     """``col, node, n_clades``: the largest clades all of whose tips differ from the outgroup; more than one is a homoplasy.
 

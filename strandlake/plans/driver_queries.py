@@ -298,15 +298,25 @@ _DNA = "translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTAC
 _DNA_SQL = f"regexp_replace({_DNA}, '[^ACGT]', '', 'g')"
 
 
-def _dna(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dna(spark: SparkSession, sf_dir: str, name: str = "benchmark", key: str = "item_id") -> DataFrame:
     """Texts as sequences: letters become bases, everything else goes."""
-    return table(spark, sf_dir, "benchmark").select("item_id", F.regexp_replace(F.expr(_DNA), "[^ACGT]", "").alias("seq"))
+    return table(spark, sf_dir, name).select(F.col(key).alias("item_id"), F.regexp_replace(F.expr(_DNA), "[^ACGT]", "").alias("seq"))
 
 
 @query(f"select item_id, reverse(translate({_DNA_SQL}, 'ACGT', 'TGCA')) as revcomp, length({_DNA_SQL}) as n from benchmark")
 def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """reverse complement."""
-    return _dna(spark, sf_dir).select("item_id", fs.reverse_complement(F.col("seq")).alias("revcomp"), F.length("seq").cast("bigint").alias("n"))
+    return _revcomp(_dna(spark, sf_dir))
+
+
+@query()
+def revcomp_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 over whole documents."""
+    return _revcomp(_dna(spark, sf_dir, "documents", "doc_id"))
+
+
+def _revcomp(d: DataFrame) -> DataFrame:
+    return d.select("item_id", fs.reverse_complement(F.col("seq")).alias("revcomp"), F.length("seq").cast("bigint").alias("n"))
 
 
 _CODON_SQL = "[" + ", ".join(f"'{c}'" for c in fs.CODONS) + "]"
@@ -325,7 +335,17 @@ k as (select item_id as chrom, p as pos0, least(m, reverse(translate(m, 'ACGT',
 select chrom, cast(pos0 as bigint) as pos0, kmer from k where kmer in (select kmer from k group by kmer having count(*) > 1)""")
 def kmer_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: k-mers that occur again on either strand."""
-    g = _dna(spark, sf_dir).withColumnRenamed("item_id", "chrom")
+    return _kmer_seed(_dna(spark, sf_dir))
+
+
+@query()
+def kmer_seed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 over whole documents."""
+    return _kmer_seed(_dna(spark, sf_dir, "documents", "doc_id"))
+
+
+def _kmer_seed(d: DataFrame) -> DataFrame:
+    g = d.withColumnRenamed("item_id", "chrom")
     return repeats.kmer_seeds(g, 21).select("chrom", F.col("pos0").cast("bigint").alias("pos0"), "kmer")
 
 
@@ -334,7 +354,16 @@ w as (select *, unnest(generate_series(0, n - 101, 20)) as i from p where n > 10
 select a_id, cast(i + 50 as bigint) as middle, sum(case when substr(a, cast(i + j as bigint), 1) = substr(b, cast(i + j as bigint), 1) then 1 else 0 end)::bigint as same from w cross join (select unnest(generate_series(1, 100)) as j) group by 1, 2""")
 def pid_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identity in windows of two rows."""
-    d = _dna(spark, sf_dir)
+    return _pid_window(_dna(spark, sf_dir))
+
+
+@query()
+def pid_window_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8 over whole documents."""
+    return _pid_window(_dna(spark, sf_dir, "documents", "doc_id"))
+
+
+def _pid_window(d: DataFrame) -> DataFrame:
     x = d.select(F.col("item_id").alias("a_id"), F.col("seq").alias("a")).join(d.select((F.col("item_id") - 1).alias("a_id"), F.col("seq").alias("b")), "a_id")
     x = x.select("a_id", F.explode(fs.window_identity(F.col("a"), F.col("b"), 100, 20)).alias("w"))
     return x.select("a_id", F.col("w.at").cast("bigint").alias("middle"), F.round(F.col("w.pid") * 100).cast("bigint").alias("same"))
@@ -349,6 +378,12 @@ def consensus_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.groupBy("col").agg(F.count_if(F.col("ch") == "-").alias("gaps"), F.count_distinct(F.when(F.col("ch") != "-", F.col("ch"))).alias("letters"))
 
 
+@query()
+def consensus_columns_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G12, A14 over whole documents, as if padded to the longest."""
+    return msa.column_counts(_dna(spark, sf_dir, "documents", "doc_id"), "seq")
+
+
 @query("""with recursive e as (select distinct l_suppkey as s, l_partkey % 5000 as p from lineitem where l_quantity >= 50 and l_discount = 0.1),
 n as (select distinct s as node from e), l as (select x.s as a, y.s as b from e x join e y on x.p = y.p and x.s <> y.s),
 r(node, reach) as (select node, node from n union select r.node, l.b from r join l on l.a = r.reach)
@@ -495,3 +530,18 @@ def homoplasies(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = m.where("ch <> ''").select("sample", (F.col("p") + 1).alias("col"), "ch")
     clades = spark.createDataFrame([(n, p, list(n)) for n, p in (("AB", "ABCD"), ("CD", "ABCD"), ("ABCD", None), ("A", "AB"), ("B", "AB"), ("C", "CD"), ("D", "CD"))], "node string, parent string, tips array<string>")
     return msa.derived_clades(m, clades, "O").select("col", "node", "n_clades")
+
+
+@query()
+def homoplasies_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A15 over all columns of all rows: the first row by id is the outgroup, the others are the tips of a balanced tree in order of id."""
+    d = _dna(spark, sf_dir).where("item_id is not null").groupBy("item_id").agg(F.min("seq").alias("seq"))
+    m = d.select(F.col("item_id").cast("string").alias("sample"), F.posexplode(F.split("seq", "")).alias("p", "ch")).where("ch <> ''")
+    first, *tips = [str(r.item_id) for r in d.select("item_id").orderBy("item_id").collect()] or [""]  # a tree is small
+    clades, size = [], 1
+    while tips and size < 2 * len(tips):
+        parent = lambda i, up=2 * size: f"{up}:{i // up}" if up < 2 * len(tips) else None
+        clades += [(f"{size}:{i // size}", parent(i), tips[i : i + size]) for i in range(0, len(tips), size)]
+        size *= 2
+    tree = spark.createDataFrame(clades, "node string, parent string, tips array<string>")
+    return msa.derived_clades(m.select("sample", (F.col("p") + 1).alias("col"), "ch"), tree, first).select("col", "node", "n_clades")

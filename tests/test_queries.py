@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import collections
 import datetime as dt
+import random
 
 import duckdb
 import pytest
@@ -38,6 +40,38 @@ def test_entry(spark):
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
+def test_whole_sequences(spark, tmp_path):
+    """Long texts of all rows against plain Python, and columns and rows beyond those of the queries with SQL."""
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcd xyz") for _ in range(k)) for k in (900, 0, 700, 650, 300, 45, 500)]
+    texts[3] = texts[0][:400] + texts[3][400:]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(3 * i + 2, t) for i, t in enumerate(texts)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    letters = {c: "ACGT"[i % 4] for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    seqs = ["".join(letters.get(c, "") for c in t) for t in texts]
+    run = lambda name: driver_queries.QUERIES[name](spark, str(tmp_path)).collect()
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert {(x.item_id, x.revcomp, x.n) for x in run("revcomp_documents")} == {(i, rc(s), len(s)) for i, s in enumerate(seqs)}
+    kmers = [(i, p, min(s[p : p + 21], rc(s[p : p + 21]))) for i, s in enumerate(seqs) for p in range(len(s) - 20)]
+    often = collections.Counter(k for *_, k in kmers)
+    assert sorted((x.chrom, x.pos0, x.kmer) for x in run("kmer_seed_documents")) == sorted(k for k in kmers if often[k[2]] > 1)
+    pid = []
+    for i, (a, b) in enumerate(zip(seqs, seqs[1:], strict=False)):
+        n = min(len(a), len(b))
+        pid += [(i, at + 50, sum(x == y for x, y in zip(a[at : at + 100], b[at : at + 100], strict=True))) for at in range(0, n - 100, 20)]
+    assert sorted((x.a_id, x.middle, x.same) for x in run("pid_window_documents")) == sorted(pid) and max(m for _, m, _ in pid) > 200
+    columns = [{s[j] for s in seqs if j < len(s)} for j in range(max(map(len, seqs)))]
+    got = {x.col: (x.gaps, x.letters) for x in run("consensus_columns_documents")}
+    assert got == {j + 1: (sum(j >= len(s) for s in seqs), len(c)) for j, c in enumerate(columns)} and len(got) > 60
+    want, tips = set(), seqs[1:]
+    for j, og in enumerate(seqs[0]):
+        differs = [j < len(s) and s[j] != og for s in tips]
+        full = {(k, g) for k in (1, 2, 4, 8) for g in range(-(-len(tips) // k)) if all(differs[g * k : g * k + k])}
+        top = {(k, g) for k, g in full if (2 * k, g // 2) not in full}
+        want |= {(j + 1, f"{k}:{g}", len(top)) for k, g in top}
+    assert {(x.col, x.node, x.n_clades) for x in run("homoplasies_whole")} == want and max(c for c, *_ in want) > 40
+
+
 def test_paired_sample(spark):
     df = driver_queries.QUERIES["paired_sample"](spark, DIR)
     whole = spark.read.parquet(f"{DIR}/conversations.parquet").groupBy("conv_id").count()
