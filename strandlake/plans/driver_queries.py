@@ -395,6 +395,15 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(e.join(first, "p"), "s", "f")
 
 
+@query()
+def components_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J13 over all rows and true part numbers."""
+    e = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).where("s is not null").distinct()
+    first = e.groupBy("p").agg(F.min("s").alias("f"))
+    edges = e.join(first, "p", "left").select("s", F.coalesce("f", "s").alias("f"))  # a row without a part joins nothing but is a node
+    return connected_components(edges, "s", "f")
+
+
 @query("""with recursive edges as (select 'r' || r_regionkey as node, cast(null as varchar) as parent from region union all select 'n' || n_nationkey, 'r' || n_regionkey from nation union all select 'c' || c_custkey, 'n' || c_nationkey from customer),
 t as (select node, 0 as depth, node as root from edges where parent is null union all select e.node, depth + 1, root from edges e join t on e.parent = t.node)
 select root, depth, count(*) as n from t group by 1, 2""")
@@ -487,7 +496,16 @@ x as (select *, rank - lag(rank) over (partition by p_brand order by rank) as a,
 select p_brand, p_partkey, rank, least(coalesce(a, 4), coalesce(b, 4)) as gap from x where least(coalesce(a, 4), coalesce(b, 4)) <= 3""")
 def tandem_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of a group within three ranks of another."""
-    p = table(spark, sf_dir, "part").where("p_size < 10")
+    return _tandem_groups(table(spark, sf_dir, "part").where("p_size < 10"))
+
+
+@query()
+def tandem_groups_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W15, W16 over all parts."""
+    return _tandem_groups(table(spark, sf_dir, "part"))
+
+
+def _tandem_groups(p: DataFrame) -> DataFrame:
     f = p.select(F.lit("c").alias("chrom"), F.col("p_partkey").alias("locus"), F.col("p_retailprice").alias("start0"), F.col("p_partkey").alias("end0"))
     out = repeats.tandem(f, p.select(F.col("p_partkey").alias("node"), F.col("p_brand").alias("component")))
     return out.select(F.col("component").alias("p_brand"), F.col("locus").alias("p_partkey"), F.col("rank").cast("bigint").alias("rank"), F.col("gap").cast("bigint").alias("gap"))

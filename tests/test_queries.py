@@ -72,6 +72,41 @@ def test_whole_sequences(spark, tmp_path):
     assert {(x.col, x.node, x.n_clades) for x in run("homoplasies_whole")} == want and max(c for c, *_ in want) > 40
 
 
+def test_components_of_all_rows(spark, tmp_path):
+    """A hub, long chains, lone suppliers and rows without a part against union-find."""
+    r = random.Random(4)
+    rows = [(s, 7) for s in range(100, 160)] + [(s, 1000 + s // 2) for s in range(200, 240)] + [(s, 2000 + (s + 1) // 2) for s in range(200, 240)]
+    rows += [(r.randrange(300, 400), r.randrange(10_000, 10_060)) for _ in range(90)] + [(500, 5007), (501, 10_007), (502, None), (503, None), (None, 7)]
+    df = spark.createDataFrame([(s, p, 1.0, 0.0) for s, p in rows], "l_suppkey bigint, l_partkey bigint, l_quantity double, l_discount double")
+    df.write.parquet(str(tmp_path / "lineitem.parquet"))
+    up = {s: s for s, _ in rows if s is not None}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    first = {}
+    for s, p in rows:
+        if s is not None and p is not None:
+            a, b = find(s), find(first.setdefault(p, s))
+            up[max(a, b)] = min(a, b)
+    got = {(x.node, x.component) for x in driver_queries.QUERIES["components_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(s, find(s)) for s in up}
+
+
+def test_tandem_groups_of_all_parts(spark, duck):
+    rows = duck.sql("select p_brand, p_partkey from part order by p_retailprice, p_partkey").fetchall()
+    ranks, want = {}, set()
+    for rank, (brand, _) in enumerate(rows, 1):
+        ranks.setdefault(brand, []).append(rank)
+    for rank, (brand, key) in enumerate(rows, 1):
+        gap = min((abs(rank - x) for x in ranks[brand] if x != rank), default=4)
+        if gap <= 3:
+            want.add((brand, key, rank, gap))
+    assert {(x.p_brand, x.p_partkey, x.rank, x.gap) for x in driver_queries.QUERIES["tandem_groups_whole"](spark, DIR).collect()} == want
+
+
 def test_paired_sample(spark):
     df = driver_queries.QUERIES["paired_sample"](spark, DIR)
     whole = spark.read.parquet(f"{DIR}/conversations.parquet").groupBy("conv_id").count()
