@@ -2,8 +2,9 @@
 
 Labelled URLs become transactions of URL tokens plus a label item; Spark's FP-growth mines frequent sets, and
 rules towards the label are kept by support and confidence, less those that a shorter rule of at least the same
-confidence covers. Each kept rule hangs in an inverted index under its rarest token; a URL looks up its own
-tokens only.
+confidence covers. Tokens come from the whole URL; frequent ones that come in the same labelled URLs are one item, so URLs with many
+tokens in common do not give a set for each choice of them. Each kept rule hangs in an inverted index under its
+rarest token; a URL looks up its own tokens only.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, no rule and is allowed; repeated
 rows are judged each by itself; of rules of the same length the one that sorts first wins; extra columns are
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -49,7 +50,7 @@ def stated_rule(h: Column, p: Column, rules: Sequence[tuple[str, str]]) -> Colum
 
 
 def tokens(url: str | None) -> list[str]:
-    """Distinct tokens of a URL: scheme, top domain, host labels and their words, folders, ending, query names, fragment."""
+    """Distinct tokens of a URL: scheme, top domain, host labels and their words, folders, words and ending of the last segment, query names, fragment."""
     m = re.match(r"(?s)(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?", url or "")
     if not m:
         return []
@@ -58,22 +59,26 @@ def tokens(url: str | None) -> list[str]:
     out = {f"scheme={scheme}", f"top={labels[-1]}"} | {f"host={x}" for x in labels[:-1]}
     out |= {f"word={w}" for x in labels[:-1] if "-" in x for w in x.split("-") if w}
     folders = [x for x in p.split("/") if x]
-    out |= {f"folder={x}" for x in folders[:-1][:4] if not x.isdigit()}
-    if folders and "." in folders[-1]:
-        out.add("end=" + folders[-1].rsplit(".", 1)[1][:8])
-    out |= {"query=" + x.split("=", 1)[0][:32] for x in q[1:].split("&")[:8] if x}
+    out |= {f"folder={x}" for x in folders[:-1] if not x.isdigit()}
+    if folders:
+        name, dot, end = folders[-1].rpartition(".")
+        if dot:
+            out.add("end=" + end)
+        out |= {f"name={w}" for w in re.split(r"[\W_]+", name if dot else end) if w and not w.isdigit()}
+    out |= {"query=" + x.split("=", 1)[0] for x in q[1:].split("&") if x}
     return sorted(out | ({"fragment"} if frag else set()))
 
 
 @dataclass
 class Index:
-    """Rules by their rarest token: ``(tokens, confidence, support)``."""
+    """Rules by their rarest token: ``(tokens, confidence, support)``; ``same`` has the token that stands for another one that comes with it."""
 
     by_token: dict[str, list[tuple[frozenset, float, int]]]
+    same: dict[str, str] = field(default_factory=dict)
 
     def match(self, own: list[str]) -> tuple[str, float] | None:
-        have, best = set(own), None
-        for t in own:
+        have, best = {self.same.get(t, t) for t in own}, None
+        for t in have:
             for items, confidence, support in self.by_token.get(t, ()):
                 if items <= have and (best is None or (-confidence, -support, sorted(items)) < best[0]):
                     best = ((-confidence, -support, sorted(items)), confidence)
@@ -93,11 +98,19 @@ def mine(labelled: DataFrame, rows: int = LABELLED_ROWS) -> Index:
             items = [tokens(u) + [BLOCK] * bool(x) for u, x in zip(b.column("url").to_pylist(), b.column("blocked").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], names=["items"])
 
-    sets = picked.select("url", "blocked").mapInArrow(baskets, "items array<string>").where(F.size("items") > 0).persist()
+    sets = picked.select("url", "blocked").mapInArrow(baskets, "items array<string>").where(F.size("items") > 0).withColumn("nth", F.monotonically_increasing_id()).persist()
     total = sets.count()
     if not total:
         return Index({})
     least = max(LEAST_SUPPORT, LEAST_ROWS / total)
+    same = _same(sets, least * total)
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            items = [sorted({same.get(t, t) for t in x}) for x in b.column("items").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], names=["items"])
+
+    whole, sets = sets, sets.select("items").mapInArrow(folded, "items array<string>").persist()
     frequent = FPGrowth(itemsCol="items", minSupport=min(1.0, least), minConfidence=LEAST_CONFIDENCE).fit(sets).freqItemsets.persist()
     with_label = frequent.where(F.array_contains("items", BLOCK) & (F.size("items") > 1))
     with_label = with_label.select(F.array_sort(F.array_remove("items", BLOCK)).alias("ante"), F.col("freq").alias("both"))
@@ -107,6 +120,7 @@ def mine(labelled: DataFrame, rows: int = LABELLED_ROWS) -> Index:
     single = {r["items"][0]: r["freq"] for r in frequent.where(F.size("items") == 1).orderBy(F.desc("freq")).limit(100_000).collect()}
     frequent.unpersist()
     sets.unpersist()
+    whole.unpersist()
     by_token: dict[str, list[tuple[frozenset, float, int]]] = {}
     kept = 0
     for r in found:  # shorter rules first: a longer one must be surer than every rule inside it
@@ -115,7 +129,15 @@ def mine(labelled: DataFrame, rows: int = LABELLED_ROWS) -> Index:
         if kept < MOST_RULES and all(r.confidence > c for _, c, _ in inside):
             by_token.setdefault(min(items, key=lambda t: (single.get(t, 0), t)), []).append((items, r.confidence, r.both))
             kept += 1
-    return Index(by_token)
+    return Index(by_token, same)
+
+
+def _same(sets: DataFrame, least: float) -> dict[str, str]:
+    """For tokens in ``least`` rows and more that come in the same rows as one that sorts before them, the first of these."""
+    rows = sets.select(F.explode("items").alias("t"), F.xxhash64("nth").alias("h")).where(F.col("t") != BLOCK)
+    often = rows.groupBy("t").agg(F.count("*").alias("n"), F.bit_xor("h").alias("h")).where(F.col("n") >= least)
+    classes = often.groupBy("n", "h").agg(F.array_sort(F.collect_list("t")).alias("ts")).where(F.size("ts") > 1).collect()
+    return {t: r.ts[0] for r in classes for t in r.ts[1:]}
 
 
 def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:

@@ -101,3 +101,18 @@ def test_mined_rules_against_counts(spark):
         have = [b for u, b in rows if items <= set(url_filter.tokens(u))]
         assert support == sum(have) and abs(confidence - sum(have) / len(have)) < 1e-12 and confidence >= url_filter.LEAST_CONFIDENCE
     assert all(bool(index.match(url_filter.tokens(u))) == b for u, b in rows)
+
+
+def test_rules_from_whole_urls(spark):
+    """Telling tokens in a fifth folder, a last segment, a ninth and a long query name; many tokens that always come together."""
+    long = "q" * 60
+    tails = ["a/b/c/d/casino/{}", "a/{}-jackpot.html", "a/{}?" + "&".join(f"p{i}=1" for i in range(8)) + "&evil=1", f"a/{{}}?{long}bad=1"]
+    fine = ["a/b/c/d/garden/{}", "a/{}-flower.html", "a/{}?" + "&".join(f"p{i}=1" for i in range(8)) + "&kind=1", f"a/{{}}?{long}good=1"]
+    many = "&".join(f"m{i:02}=1" for i in range(40))
+    rows = [(f"https://h.example/{t.format(i)}", bad) for bad, ts in ((True, tails), (False, fine)) for t in ts for i in range(60)]
+    rows += [(f"https://h.example/x/{i}?{many}", True) for i in range(60)]
+    index = url_filter.mine(spark.createDataFrame(rows, "url string, blocked boolean"))
+    new = [(f"https://h.example/{t.format(999)}", bad) for bad, ts in ((True, tails), (False, fine)) for t in ts] + [("https://h.example/x/999?m31=1", True)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(new)], "page_id bigint, url string")
+    got = {x.page_id: x.verdict == "block" for x in url_filter.judge(pages, [], index).collect()}
+    assert got == {i: bad for i, (_, bad) in enumerate(new)}
