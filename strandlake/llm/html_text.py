@@ -138,7 +138,7 @@ def parse(page: str) -> list[Node]:
                 stack.pop()
         hints = sorted({w for a in _ATTR.finditer(m[3]) for w in _PART.findall((a[2] or a[3] or a[4] or "").lower())}) if m[3] else ()
         above = nodes[stack[-1]]
-        nodes.append(Node(tag, stack[-1], tuple(hints[:12]), within=above.within or above.tag in ("article", "main", "section") or not _TEXT_HINTS.isdisjoint(above.hints)))
+        nodes.append(Node(tag, stack[-1], tuple(hints), within=above.within or above.tag in ("article", "main", "section") or not _TEXT_HINTS.isdisjoint(above.hints)))
         if tag not in VOID:
             stack.append(len(nodes) - 1)
     for i in reversed(stack):

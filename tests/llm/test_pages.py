@@ -116,3 +116,11 @@ def test_rules_from_whole_urls(spark):
     pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(new)], "page_id bigint, url string")
     got = {x.page_id: x.verdict == "block" for x in url_filter.judge(pages, [], index).collect()}
     assert got == {i: bad for i, (_, bad) in enumerate(new)}
+
+
+def test_every_class_word_counts():
+    words = " ".join(f"a{c}" for c in "abcdefghijklmnop")
+    nodes = html_text.parse(f'<html><body><div class="{words} story"><p id="one">text</p></div><div class="{words} sidebar"><p>more</p></div></body></html>')
+    hints = [n.hints for n in nodes if n.tag == "div"]
+    assert "story" in hints[0] and "sidebar" in hints[1] and all(len(h) == 17 for h in hints)
+    assert [n.within for n in nodes if n.tag == "p"] == [True, False]
