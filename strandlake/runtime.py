@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import shutil
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,11 +78,34 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-#: Bytes and rows of an Arrow batch for a Python worker. Texts can be long; batches of this size bound what a worker holds.
-BATCH_BYTES, BATCH_ROWS = "8m", "2000"
+#: Bytes and rows of an Arrow batch for a Python worker. Texts can be long; batches of this size bound what a worker, and Spark's buffers beside it, hold.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Hand texts to Python workers in smaller batches than Spark does by default."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """Hand texts to Python workers in smaller batches than Spark does by default, unless the session sets its own size.
+
+    Plans read these settings when they run, which is after the operator has returned, so they stay set in the session.
+    """
+    own = spark.conf.getAll
+    for name, value in BATCHES.items():
+        if name not in own:
+            spark.conf.set(name, value)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of Arrow batches, but a worker hands the memory it freed back to the system at the end of each task.
+
+    Spark reuses Python workers; without this each keeps the peak of the hungriest task it ever ran.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+            if trim:
+                trim(0)
+
+    return whole
