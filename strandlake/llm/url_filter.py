@@ -2,13 +2,14 @@
 
 Labelled URLs become transactions of URL tokens plus a label item; Spark's FP-growth mines frequent sets, and
 rules towards the label are kept by support and confidence, less those that a shorter rule of at least the same
-confidence covers. Tokens come from the whole URL; frequent ones that come in the same labelled URLs are one item, so URLs with many
+confidence covers. Nothing but the labels says which URLs are unwanted: without a rule that they support, nothing is mined. Tokens come from the whole URL; frequent ones that come in the same labelled URLs are one item, so URLs with many
 tokens in common do not give a set for each choice of them. Each kept rule hangs in an inverted index under its
 rarest token; a URL looks up its own tokens only.
 
-Defined cases: a null URL or one without ``://`` has an empty host and path, no rule and is allowed; repeated
-rows are judged each by itself; of rules of the same length the one that sorts first wins; extra columns are
-ignored; without labels nothing is mined and the stated rules alone decide.
+Defined cases: a null URL or one without ``://`` has an empty host and path, no rule and is allowed; very long URLs are
+read whole; repeated rows are judged each by itself; of stated rules of the same length the one that sorts first wins, of mined rules the
+surest, then the best supported, then the one that sorts first; extra columns are ignored; null ids are carried along; without labels nothing is
+mined and the stated rules alone decide; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled URLs learned from (expected, picked by hash), least share and number of URLs with a rule's tokens and label, least confidence, rules kept.
-LABELLED_ROWS, LEAST_SUPPORT, LEAST_ROWS, LEAST_CONFIDENCE, MOST_RULES = 50_000, 0.002, 20, 0.8, 2000
-#: Words in a host that mark a URL as unwanted; these weak labels stand beside the labels of the pages' documents.
-UNWANTED_WORDS = "casino bet bets betting poker pills pharma viagra porn xxx ads adserver track tracker".split()
+from strandlake.runtime import giving_back
+
+#: Labelled URLs learned from (expected, picked by hash), least share and number of URLs with a rule's tokens and label, least confidence.
+LABELLED_ROWS, LEAST_SUPPORT, LEAST_ROWS, LEAST_CONFIDENCE = 50_000, 0.002, 20, 0.8
 BLOCK = "label=block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -98,7 +99,7 @@ def mine(labelled: DataFrame, rows: int = LABELLED_ROWS) -> Index:
             items = [tokens(u) + [BLOCK] * bool(x) for u, x in zip(b.column("url").to_pylist(), b.column("blocked").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], names=["items"])
 
-    sets = picked.select("url", "blocked").mapInArrow(baskets, "items array<string>").where(F.size("items") > 0).withColumn("nth", F.monotonically_increasing_id()).persist()
+    sets = picked.select("url", "blocked").mapInArrow(giving_back(baskets), "items array<string>").where(F.size("items") > 0).withColumn("nth", F.monotonically_increasing_id()).persist()
     total = sets.count()
     if not total:
         return Index({})
@@ -110,25 +111,23 @@ def mine(labelled: DataFrame, rows: int = LABELLED_ROWS) -> Index:
             items = [sorted({same.get(t, t) for t in x}) for x in b.column("items").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], names=["items"])
 
-    whole, sets = sets, sets.select("items").mapInArrow(folded, "items array<string>").persist()
+    whole, sets = sets, sets.select("items").mapInArrow(giving_back(folded), "items array<string>").persist()
     frequent = FPGrowth(itemsCol="items", minSupport=min(1.0, least), minConfidence=LEAST_CONFIDENCE).fit(sets).freqItemsets.persist()
     with_label = frequent.where(F.array_contains("items", BLOCK) & (F.size("items") > 1))
     with_label = with_label.select(F.array_sort(F.array_remove("items", BLOCK)).alias("ante"), F.col("freq").alias("both"))
     alone = frequent.select(F.array_sort("items").alias("ante"), F.col("freq").alias("n"))
     rules = with_label.join(alone, "ante").select("ante", "both", (F.col("both") / F.col("n")).alias("confidence")).where(F.col("confidence") >= LEAST_CONFIDENCE)
-    found = rules.orderBy(F.size("ante"), F.desc("confidence"), F.desc("both"), "ante").limit(50 * MOST_RULES).collect()
-    single = {r["items"][0]: r["freq"] for r in frequent.where(F.size("items") == 1).orderBy(F.desc("freq")).limit(100_000).collect()}
-    frequent.unpersist()
-    sets.unpersist()
-    whole.unpersist()
+    found = rules.orderBy(F.size("ante"), F.desc("confidence"), F.desc("both"), "ante")
+    # every token here is in a share LEAST_SUPPORT of the sample's URLs, so there are no more than the sample's rows and URL lengths allow
+    single = {r["items"][0]: r["freq"] for r in frequent.where(F.size("items") == 1).collect()}
     by_token: dict[str, list[tuple[frozenset, float, int]]] = {}
-    kept = 0
-    for r in found:  # shorter rules first: a longer one must be surer than every rule inside it
+    for r in found.toLocalIterator():  # shorter rules first: a longer one must be surer than every rule inside it
         items = frozenset(r.ante)
         inside = (x for t in items for x in by_token.get(t, ()) if x[0] < items)
-        if kept < MOST_RULES and all(r.confidence > c for _, c, _ in inside):
+        if all(r.confidence > c for _, c, _ in inside):
             by_token.setdefault(min(items, key=lambda t: (single.get(t, 0), t)), []).append((items, r.confidence, r.both))
-            kept += 1
+    for x in (frequent, sets, whole):
+        x.unpersist()
     return Index(by_token, same)
 
 
@@ -141,13 +140,11 @@ def _same(sets: DataFrame, least: float) -> dict[str, str]:
 
 
 def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """``url, blocked``: a page is blocked if its document (the number that ends its path) is labelled toxic or of low
-    quality, or a word of its host is an unwanted one; pages of neither kind of label are left out."""
-    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit(False))).alias("bad"))
-    urls = pages.where("url is not null").select("url", F.regexp_extract(path(F.col("url")), r"/(\d{1,18})(?:\.\w+)?/?$", 1).cast("bigint").alias("doc_id"))
-    words = F.split(host(F.col("url")), r"[.-]")
-    weak = F.arrays_overlap(words, F.array(*map(F.lit, UNWANTED_WORDS)))
-    return urls.join(marks, "doc_id", "left").where(weak | F.col("bad").isNotNull()).select("url", (weak | F.coalesce("bad", F.lit(False))).alias("blocked"))
+    """``url, blocked``: a page is blocked if its document (the number that ends its path) is labelled toxic or of low quality; pages
+    without a labelled document are left out."""
+    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit(False))).alias("blocked"))
+    urls = pages.where("url is not null").select("url", F.regexp_extract(path(F.col("url")), r"/(\d{1,18})(?:\.\w+)?/?$", 1).try_cast("bigint").alias("doc_id"))
+    return urls.join(marks, "doc_id").select("url", "blocked")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], index: Index) -> DataFrame:
@@ -162,7 +159,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], index: Index) -> D
             yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "mined_rule", "confidence"])
 
     found = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"))
-    found = found.mapInArrow(run, "page_id bigint, url string, mined_rule string, confidence double")
+    found = found.mapInArrow(giving_back(run), "page_id bigint, url string, mined_rule string, confidence double")
     found = found.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "mined_rule", "confidence")
     stated = stated_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("mined_rule").isNotNull(), "block").otherwise("allow")

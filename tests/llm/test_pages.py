@@ -103,6 +103,38 @@ def test_mined_rules_against_counts(spark):
     assert all(bool(index.match(url_filter.tokens(u))) == b for u, b in rows)
 
 
+def test_rules_from_labels_alone(spark, monkeypatch):
+    """All rules by brute force: every set of tokens, from the labels of the pages' documents and nothing else."""
+    monkeypatch.setattr(url_filter, "LEAST_ROWS", 6)
+    hosts, folders = ["casino-win", "ads", "plain", "garden"], ["en", "de", "fr"]
+    pages = [(i, f"https://{hosts[i % 4]}.example/{folders[i % 3]}/{i}") for i in range(240)] + [(900, None), (901, "no scheme"), (902, "https://ads.example/en/")]
+    labels = [(i, int(i % 5 > 0), int(i % 4 == 2 and i % 3 == 1 or i % 4 == 3)) for i in range(0, 200)] + [(3, None, 1), (None, 1, 1)]
+    p, y = spark.createDataFrame(pages, "page_id bigint, url string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    bad = {}
+    for i, quality, toxic in labels:
+        if i is not None:
+            bad[i] = bad.get(i, False) or toxic == 1 or quality == 0
+    rows = [(frozenset(url_filter.tokens(u)), bad[i]) for i, u in pages if i in bad]
+    labelled = url_filter.labelled_urls(p, y)
+    assert sorted((sorted(url_filter.tokens(x.url)), x.blocked) for x in labelled.collect()) == sorted((sorted(t), b) for t, b in rows)
+    index = url_filter.mine(labelled)
+    sets: dict[frozenset, tuple[int, int]] = {}
+    for items, b in rows:
+        for k in range(1, len(items) + 1):
+            for c in itertools.combinations(sorted(items), k):
+                n, m = sets.get(frozenset(c), (0, 0))
+                sets[frozenset(c)] = (n + 1, m + b)
+    sure = {c: m / n for c, (n, m) in sets.items() if m >= 6 and m / n >= url_filter.LEAST_CONFIDENCE}
+    found = {items: confidence for own in index.by_token.values() for items, confidence, _ in own}
+    assert found and all(abs(sure[c] - confidence) < 1e-12 for c, confidence in found.items())
+    for items, _ in rows:  # the surest of all rules that match is what the index finds
+        best = max((s for c, s in sure.items() if c <= items), default=None)
+        hit = index.match(sorted(items))
+        assert (hit is None) == (best is None) and (hit is None or abs(hit[1] - best) < 1e-12)
+    none = url_filter.mine(url_filter.labelled_urls(p, y.select("doc_id", "quality", (y.doc_id * 0).cast("int").alias("toxic")).where("quality = 1")))
+    assert none.by_token == {}  # words that look unwanted are not
+
+
 def test_rules_from_whole_urls(spark):
     """Telling tokens in a fifth folder, a last segment, a ninth and a long query name; many tokens that always come together."""
     long = "q" * 60
