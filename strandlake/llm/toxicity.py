@@ -1,17 +1,20 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words are read as insult (weights learned from labels), threat, target, negation or report symbols. Small
-transducers for negation, reported speech, targets and threats run over the symbols of one clause and are
-composed: they decide into which channel (plain, targeted, negated, reported, threat) the weight of an insult
-or threat goes. Only clauses that hold an insult or threat are read; an Aho-Corasick scan finds them. A
+Words are read as insult (weights learned from labels), threat, target, negation, report or other symbols. Four
+transducers run over the symbols of one clause, composed into one (``grammar``): reported speech marks the insults
+after a verb of saying, negation those up to three words after a negation, and the insult and threat
+transducers look for a target near them on either side; what is still to come they guess, and a guess that fails
+is no path. The heaviest path says into which channel (plain, targeted, negated, reported, threat) each insult or
+threat goes. Only clauses that hold an insult or threat are read; an Aho-Corasick scan finds them. A
 logistic layer over the channel sums and the text's size, fitted on the same labelled rows, gives the score.
 
 Insult patterns (whole words or word beginnings) are weighed by distinct clauses, so copies of a document do
 not make its rare words look toxic.
 
-Defined cases: null or empty texts score as texts without a match; repeated rows score alike; without
-labels of both classes the fixed weights below hold; conflicting labels of a row count as toxic; extra columns
-are ignored; a null id is treated as held out.
+Defined cases: null or empty texts score as texts without a match; very long texts and clauses are read whole; repeated rows score alike; without
+labels of both classes the fixed weights below hold; conflicting labels of a row count as toxic; of paths of equal
+weight the one whose channels sort first counts; a score of exactly 0.5 is predicted toxic; extra columns
+are ignored; a null id is treated as held out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,17 +27,26 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm import textvec as tv
+from strandlake.llm.transducers import Transducer, build, compose
+from strandlake.runtime import giving_back
 
-#: Labelled rows of each class learned from (expected, picked by a hash of the id), patterns kept, clauses that a pattern needs, least log odds.
-ROWS_PER_CLASS, MOST_PATTERNS, LEAST_CLAUSES, LEAST_ODDS = 4000, 1500, 6, 2.5
+#: Labelled rows of each class learned from (expected, picked by a hash of the id), clauses that a pattern needs, least log odds.
+ROWS_PER_CLASS, LEAST_CLAUSES, LEAST_ODDS = 4000, 6, 2.5
 #: Lengths of word beginnings that can become patterns.
 PREFIXES = range(4, 9)
 
-THREAT = "kill hurt destroy strangle stab shoot beat murder töten umbringen verprügeln tuer frapper égorger matar golpear degollar".split()
+#: Threats with their forms, in English, German, French and Spanish.
+THREAT = (
+    "kill kills killed killing hurt hurts hurting destroy destroys destroyed destroying strangle strangles strangled strangling stab stabs stabbed stabbing "
+    "shoot shoots shot shooting beat beats beaten beating murder murders murdered murdering "
+    "töten töte tötest tötet tötete töteten getötet umbringen umbringe umbringst umbringt umgebracht verprügeln verprügle verprügelt verprügelte erschießen erschieße erschießt erschossen "
+    "tuer tue tues tuent tuera tué frapper frappe frappes frappent frappera frappé égorger égorge égorges égorgent égorgé "
+    "matar mato matas mata matan mataré matado golpear golpeo golpeas golpea golpean golpeado degollar degüello degüella degollado"
+).split()
 TARGET = "you your yourself u they them he she du dich dir ihr euch sie tu te toi vous ils elle ti usted ustedes él ella ellos".split()
 NEGATION = "not no never isn't aren't don't nicht kein keine nie pas jamais aucun nunca jamás ni".split()
 REPORT = "said says say told quoted wrote claimed called sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó".split()
@@ -42,6 +54,13 @@ SEED_INSULTS = "idiot moron scum".split()
 #: Characters in a unit of a text's size, which tells chance matches of long texts from many matches in a short one.
 SIZE_UNIT = 500
 CHANNELS = ("plain", "targeted", "negated", "reported", "threat")
+#: Words up to which a negation reaches, and up to which a target counts for an insult and for a threat.
+NEGATION_REACH, INSULT_REACH, THREAT_REACH = 3, 4, 6
+#: Symbols read (insult, threat, target, negation, report, other) and channel and weight of those written; others write nothing.
+READ = "ITYNRW"
+WRITTEN = {"p": ("plain", 1.0), "t": ("targeted", 1.0), "n": ("negated", 1.0), "r": ("reported", 1.0), "K": ("threat", 2.0), "k": ("threat", 1.0)}
+#: Other words in a row beyond which one more changes no state, symbols of a clause up to which its reading is kept, and readings kept by a worker.
+LONG_RUN, KEPT_LENGTH, KEPT = max(NEGATION_REACH, INSULT_REACH, THREAT_REACH) + 2, 80, 50_000
 _CLAUSE = re.compile(r"[.!?;:\n|]+")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
@@ -55,8 +74,61 @@ class Grammar:
     intercept: float = -3.0
 
 
+def report() -> Transducer:
+    """After a report word, insults are reported (``r``) and threats nobody's, to the end of the clause."""
+
+    def step(on: bool, x: str) -> list[tuple[str, float, bool]]:
+        if x == "R":
+            return [("W", 0.0, True)]
+        return [({"I": "r", "T": "W"}.get(x, x) if on else x, 0.0, on)]
+
+    return build(False, step, READ, lambda s: True)
+
+
+def negation() -> Transducer:
+    """Insults within reach after a negation are negated (``n``), threats are none."""
+
+    def step(reach: int, x: str) -> list[tuple[str, float, int]]:
+        if x == "N":
+            return [("W", 0.0, NEGATION_REACH)]
+        return [({"I": "n", "T": "W"}.get(x, x) if reach else x, 0.0, max(0, reach - 1))]
+
+    return build(0, step, "ITYNWr", lambda s: True)
+
+
+def near(trigger: str, miss: str, before: str, after: str, gains: tuple[float, float], reach: int, alphabet: str) -> Transducer:
+    """A trigger with a target up to ``reach`` words before it is written ``before``, up to so many after it ``after``, else ``miss``.
+
+    States: words since the last target, and words left in which a guessed target must come; a path that owes one does not end.
+    """
+
+    def step(state: tuple[int, int], x: str) -> list[tuple[str, float, tuple[int, int]]]:
+        since, due = state
+        if x == "Y":
+            return [("Y", 0.0, (1, 0))]
+        if due == 1:
+            return []
+        owed, far = max(0, due - 1), min(since + 1, reach + 1)
+        if x != trigger:
+            return [(x, 0.0, (far, owed))]
+        out = [(miss, 0.0, (far, owed)), (after, gains[1], (far, owed or reach))]
+        return out + [(before, gains[0], (far, owed))] * (since <= reach)
+
+    return build((reach + 1, 0), step, alphabet, lambda s: not s[1])
+
+
+def grammar() -> Transducer:
+    """The four transducers composed: symbols of a clause to channels."""
+    insults = near("I", "p", "t", "t", (1.0, 1.0), INSULT_REACH, "ITYWrn")
+    threats = near("T", "W", "k", "K", (1.0, 2.0), THREAT_REACH, "TYWrnpt")
+    return compose(compose(compose(report(), negation()), insults), threats)
+
+
+_grammar: list[Transducer] = []
+
+
 class Matcher:
-    """The grammar made ready for scanning."""
+    """The learned words and the composed grammar made ready for scanning."""
 
     def __init__(self, g: Grammar):
         self.g, self.lengths = g, sorted({len(p) for p in g.prefixes})
@@ -65,6 +137,9 @@ class Matcher:
         for p in {*g.words, *g.prefixes, *THREAT}:
             self.scan.add_word(p, (len(p), p in g.prefixes))
         self.scan.make_automaton()
+        if not _grammar:
+            _grammar.append(grammar())
+        self.machine, self.readings = _grammar[0], {}
 
     def weight(self, word: str) -> float:
         w = self.g.words.get(word, 0.0)
@@ -73,44 +148,34 @@ class Matcher:
                 w = max(w, self.g.prefixes.get(word[:n], 0.0))
         return w
 
-    def clause(self, text: str) -> tuple[float, ...]:
-        """Channel weights of one clause: the composed transducers' output.
+    def reading(self, symbols: str) -> tuple[str, ...]:
+        """What the composed grammar writes for the symbols of a clause."""
+        found = self.readings.get(symbols)
+        if found is None:
+            best = self.machine.best(symbols)
+            assert best is not None  # every state passes every symbol on to some state that owes nothing
+            found = best[1]
+            if len(symbols) <= KEPT_LENGTH:
+                if len(self.readings) >= KEPT:
+                    self.readings.clear()
+                self.readings[symbols] = found
+        return found
 
-        The negation transducer holds a reach of three words, the report transducer stays on to the end of
-        the clause, the target transducer accepts a target up to four words before or after an insult, the
-        threat transducer accepts a threat followed by a target.
-        """
+    def clause(self, text: str) -> tuple[float, ...]:
+        """Channel weights of one clause."""
+        symbols, weights, run = [], [], 0
+        for m in _WORD.finditer(text):
+            w = self.weight(m[0])
+            kind = "I" if w > 0 else self.kind.get(m[0], "W")
+            run = run + 1 if kind == "W" else 0
+            if run <= LONG_RUN:  # a longer run leaves every state as this one does
+                symbols.append(kind)
+                weights.append(w or 1.0)
         out = dict.fromkeys(CHANNELS, 0.0)
-        reach, reported, target_at, open_insults, threat_open = 0, False, -9, [], False
-        for i, m in enumerate(_WORD.finditer(text)):
-            word = m[0]
-            kind, w = self.kind.get(word), self.weight(word)
-            if w > 0:
-                if reported:
-                    out["reported"] += w
-                elif reach > 0:
-                    out["negated"] += w
-                elif i - target_at <= 4:
-                    out["targeted"] += w
-                else:
-                    open_insults.append((i, w))
-            elif kind == "R":
-                reported = True
-            elif kind == "N":
-                reach = 4
-            elif kind == "T":
-                threat_open = reach <= 0 and not reported
-            elif kind == "Y":
-                target_at = i
-                if threat_open:
-                    out["threat"] += 2.0
-                    threat_open = False
-                near = [x for x in open_insults if i - x[0] <= 4]
-                out["targeted"] += sum(w for _, w in near)
-                out["plain"] += sum(w for j, w in open_insults if i - j > 4)
-                open_insults = []
-            reach -= 1
-        out["plain"] += sum(w for _, w in open_insults)
+        for x, w in zip(self.reading("".join(symbols)), weights, strict=True):
+            if x in WRITTEN:
+                channel, times = WRITTEN[x]
+                out[channel] += times * w
         return tuple(out[c] for c in CHANNELS)
 
     def channels(self, text: str) -> list[float]:
@@ -149,11 +214,11 @@ def _patterns(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
                 for clause in _CLAUSE.split(text.lower()):
                     own = _WORD.findall(clause)
                     key = hash_text(" ".join(own))
-                    found.update((w, y, key) for w in set(own) if len(w) <= 40)
+                    found.update((w, y, key) for w in set(own))
             w, y, k = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(y, pa.int32()), pa.array(k, pa.int64())], names=["word", "toxic", "clause"])
 
-    rows = sample.mapInArrow(words, "word string, toxic int, clause bigint").distinct()
+    rows = sample.mapInArrow(giving_back(words), "word string, toxic int, clause bigint").distinct()
     by_word = rows.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count_if(F.col("toxic") == 0).alias("neg")).persist()
     forms = by_word.select("word", "pos", "neg", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.substring("word", 1, n).alias("p")) for n in (0, *PREFIXES)])).alias("f"))
     forms = forms.where((F.col("f.n") == 0) | (F.length("word") > F.col("f.n")))
@@ -164,15 +229,14 @@ def _patterns(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         forms.groupBy("form", "prefix").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("pos").alias("top"))
         .withColumn("odds", odds)
         .where((F.col("pos") >= LEAST_CLAUSES) & (F.col("odds") >= LEAST_ODDS) & (~F.col("prefix") | (F.col("pos") >= 1.5 * F.col("top"))))
-        .orderBy(F.desc("pos"), "form", "prefix").limit(MOST_PATTERNS).collect()
+        .collect()
     )
     by_word.unpersist()
     return {r.form: r.odds for r in found if not r.prefix}, {r.form: r.odds for r in found if r.prefix}
 
 
 def hash_text(s: str) -> int:
-    raw = np.frombuffer(s.encode("utf-8", "replace"), np.uint8)
-    return int(tv.word_hashes(raw, np.array([0]), np.array([len(raw)]))[0].view(np.int64)) if len(raw) else 0
+    return xxhash.xxh3_64_intdigest(s.encode("utf-8", "replace")) - (1 << 63)
 
 
 def _channels(texts: DataFrame, grammar: Grammar, keep: str, kept_type: str) -> DataFrame:
@@ -185,7 +249,7 @@ def _channels(texts: DataFrame, grammar: Grammar, keep: str, kept_type: str) ->
             size = pa.array([len(t.as_py() or "") / SIZE_UNIT for t in batch.column("text")], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(keep), *[pa.array(x[:, i]) for i in range(len(CHANNELS))], size], names=[keep, *CHANNELS, "size"])
 
-    return texts.select(keep, "text").mapInArrow(run, f"{keep} {kept_type}, " + ", ".join(f"{c} double" for c in (*CHANNELS, "size")))
+    return texts.select(keep, "text").mapInArrow(giving_back(run), f"{keep} {kept_type}, " + ", ".join(f"{c} double" for c in (*CHANNELS, "size")))
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
