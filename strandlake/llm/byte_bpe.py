@@ -2,18 +2,22 @@
 
 A rank file gives the vocabulary; every byte is shown to the library as one printable character, so the
 library's character offsets are byte offsets, from which character offsets of the text follow. Pieces are cut by the pattern
-first; a piece seen before is answered from a bounded cache, the others of a batch go to the library together.
+first; a piece seen before is answered from a bounded cache, the others of about ``CHUNK`` characters of texts go to the library
+in one call. The library's own threads are switched off in Spark's workers: tasks are parallel already.
 
-Defined cases: a null or empty text has no ids and decodes to empty bytes; repeated rows are encoded
-again, each by itself; extra columns are ignored; an empty table gives an empty table.
+Defined cases: a null or empty text has no ids and decodes to empty bytes; very long texts are encoded whole, in chunks that
+end where the pattern always cuts; repeated rows are encoded again, each by itself; ties do not occur; a null id is carried along;
+extra columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
-from strandlake.runtime import bounded_batches
+from strandlake.runtime import bounded_batches, giving_back
 
-#: Pieces kept by one Python worker, and the longest piece that is kept.
-CACHE_PIECES, CACHE_LENGTH = 200_000, 48
+#: Pieces after which one Python worker starts a new generation of its cache (the last one is kept), and the longest piece that is kept.
+CACHE_PIECES, CACHE_LENGTH = 100_000, 48
 #: Characters of text that are cut into pieces at once.
 CHUNK = 1 << 20
 
@@ -55,30 +59,29 @@ class ByteBPE:
         self.library = Tokenizer(model)
         self.pieces = regex.compile(pattern).findall
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _shown(self, piece: str) -> str:
         return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._latin)
 
     def _packed(self, pieces: Sequence[str]) -> list[bytes]:
         """Little-endian ids of each piece."""
-        cache = self.cache
-        new = list({p for p in pieces if p not in cache})
-        late: dict[str, bytes] = {}
-        if new:
-            found = self.library.encode_batch_fast([self._shown(p) for p in new], add_special_tokens=False)
-            room = CACHE_PIECES - len(cache)
-            if room < len(new):
-                late = {p: cache[p] for p in set(pieces) if p in cache}
-                cache.clear()
-            for p, e in zip(new, found, strict=True):
-                packed = np.array(e.ids, dtype="<u4").tobytes()
-                if len(p) <= CACHE_LENGTH and len(cache) < CACHE_PIECES:
-                    cache[p] = packed
-                else:
-                    late[p] = packed
-        if late:
-            return [late[p] if p in late else cache[p] for p in pieces]
-        return list(map(cache.__getitem__, pieces))
+        cache, old = self.cache, self.old
+        out = list(map(cache.get, pieces))
+        gaps = [i for i, packed in enumerate(out) if packed is None]
+        missing = {pieces[i] for i in gaps}
+        new = [p for p in missing if p not in old]
+        found = self.library.encode_batch_fast([self._shown(p) for p in new], add_special_tokens=False)
+        cache.update((p, old[p]) for p in missing if p in old)
+        cache.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found, strict=True))
+        for i in gaps:
+            out[i] = cache[pieces[i]]
+        for p in new:
+            if len(p) > CACHE_LENGTH:
+                del cache[p]
+        if len(cache) > CACHE_PIECES:  # what is in use finds its way into the new generation
+            self.old, self.cache = cache, {}
+        return out
 
     def _cuts(self, text: str) -> Iterator[list[str]]:
         """Pieces of the text, at most about CHUNK characters at once; cut between a letter and white space that follows it."""
@@ -92,6 +95,29 @@ class ByteBPE:
     def encode_packed(self, text: str) -> bytes:
         return b"".join(b"".join(self._packed(pieces)) for pieces in self._cuts(text))
 
+    def encode_many(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """Little-endian ids of each text; short texts go together."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if len(text) > CHUNK:
+                yield from self._together(held)
+                yield self.encode_packed(text)
+                held, size = [], 0
+                continue
+            held.append(text)
+            size += len(text)
+            if size > CHUNK:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: Sequence[str]) -> Iterator[bytes]:
+        cut = [self.pieces(t) for t in texts]
+        packed = iter(self._packed(list(chain.from_iterable(cut))))
+        for pieces in cut:
+            yield b"".join(islice(packed, len(pieces)))
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed(text), dtype="<u4").tolist()
 
@@ -119,6 +145,7 @@ _made: dict[int, ByteBPE] = {}
 
 def _worker(key: int, ranks_file: bytes, pattern: str) -> ByteBPE:
     if key not in _made:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _made.clear()
         _made[key] = ByteBPE(ranks_file, pattern)
     return _made[key]
@@ -142,8 +169,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
         bpe = _worker(key, *shared.value)
         for batch in batches:
             n, a, b, ids = [], [], [], []
-            for text in batch.column("text"):
-                packed = bpe.encode_packed(text.as_py() or "")
+            for packed in bpe.encode_many([t or "" for t in batch.column("text").to_pylist()]):
                 found = np.frombuffer(packed, dtype="<u4")
                 n.append(len(found))
                 a.append(hashlib.sha256(packed).hexdigest())
@@ -159,4 +185,4 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
             yield pa.RecordBatch.from_arrays(out, names=names)
 
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(giving_back(run), schema)
