@@ -1,35 +1,40 @@
-"""Graph operators: connected components by alternating star contraction."""
+"""Graph operators: connected components by label propagation and pointer jumping."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.runtime import cut
+from strandlake.runtime import HOT_KEYS, HOT_ROWS, cut, drop, hot_keys, joined
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Rows ``(node, component)`` for every node of an undirected edge list; ``component`` is the smallest node reachable.
 
-    Each round points every node at the smallest label among itself and its neighbours' labels, then
-    shortcuts labels through their own label (pointer jumping), so rounds grow with the logarithm of the
-    diameter in practice. Only ``min`` aggregates meet at a node, so a hub of any degree is combined
-    map-side and never gathered. Self loops give singleton components, null ends are ignored, repeated
-    edges change nothing, an empty edge list gives an empty result.
+    Each round first shortcuts every label through its own label (pointer jumping) and then takes the smallest label
+    among a node and its neighbours, so rounds grow with the logarithm of the diameter in practice. Labels meet
+    edges and labels by joins that take hot keys (hubs, labels of large components) out of the shuffle, and the smallest
+    labels are combined before they are shuffled, so no task gets a hub's edges or a component's nodes. Labels of
+    earlier rounds are deleted. Self loops give singleton components, null ends are ignored, repeated edges change
+    nothing, an empty edge list gives an empty result.
     """
-    e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct()
+    e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     both = cut(e.union(e.select("b", "a")).distinct())
+    hubs = hot_keys(both, "b")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    labels = cut(labels.select("node", F.least("node", "m").alias("component")))
+    held = cut(labels.select("node", F.least("node", "m").alias("c")))
+    hot = hot_keys(held, "c")
     for _ in range(max_rounds):
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels.node == near.a).select(
-            "node", F.col("component").alias("was"), F.least("component", "near").alias("c")
-        )
-        hop = step.select(F.col("node").alias("c"), F.col("c").alias("cc"))
-        nxt = cut(step.join(hop, "c").select("node", "was", F.least("c", "cc").alias("component")))
-        changed = nxt.where("component <> was").limit(1).count()
-        labels = nxt.select("node", "component")
+        labels = held.select("node", "c")
+        own = labels.select(F.col("node").alias("c"), F.col("c").alias("cc"))
+        hopped = joined(labels, own, "c", "left", hot).select("node", F.col("c").alias("was"), F.least("c", "cc").alias("c"))
+        near = joined(both, hopped.select(F.col("node").alias("b"), "c"), "b", "inner", hubs).groupBy(F.col("a").alias("node")).agg(F.min("c").alias("near"))
+        nxt = cut(hopped.join(near, "node").select("node", "was", F.least("c", "near").alias("c")))
+        n, changed, top = nxt.agg(F.count("*"), F.count_if(F.col("c") != F.col("was")), F.expr(f"approx_top_k(c, {HOT_KEYS}, {8 * HOT_KEYS})")).first()
+        drop(held)
+        held = nxt
+        hot = [x["item"] for x in top or [] if x["count"] > max(HOT_ROWS, n / HOT_KEYS)]
         if not changed:
-            return labels
+            drop(both)
+            return held.select("node", F.col("c").alias("component"))
     raise RuntimeError("components did not settle; raise max_rounds")

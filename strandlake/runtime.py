@@ -13,16 +13,22 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set (tests)."""
+    """Use the shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set and all tasks run on this machine (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandlake-ckpt-"))
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not named:
+            named = tempfile.mkdtemp(prefix="strandlake-ckpt-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -31,6 +37,16 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``cut`` that nothing will read again."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = sc._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,14 +62,64 @@ def rows_with(df: DataFrame, keys: DataFrame, on: str, most: int = BROADCAST_KEY
     return df.join(F.broadcast(own) if few else own, on, "left_semi")
 
 
-#: Rows up to which a table may be broadcast.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes up to which a table may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about: eight for a value, texts and nested values by their length as text."""
+    out = F.lit(0)
+    for field in df.schema:
+        kind, c = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            out = out + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            out = out + F.coalesce(F.octet_length(F.to_json(c if isinstance(kind, T.StructType) else F.struct(c))), F.lit(0)) + 8
+        else:
+            out = out + 8
+    return out
 
 
 def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The table cut off, with a broadcast hint if it is counted to have at most ``most`` rows; else joins with it are shuffled."""
+    """The table cut off, with a broadcast hint if it is counted to have at most ``most`` rows and ``BROADCAST_BYTES``; else joins with it are shuffled."""
     own = cut(df)
-    return F.broadcast(own) if own.limit(most + 1).count() <= most else own
+    rows, size = own.agg(F.count("*"), F.sum(_width(own))).first()
+    return F.broadcast(own) if rows <= most and (size or 0) <= BROADCAST_BYTES else own
+
+
+#: Keys that can be taken out of a shuffled join (each has at least that share of the rows), and rows of a key below which none is.
+HOT_KEYS, HOT_ROWS = 500, 500
+
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """The keys that hold more than a ``HOT_KEYS``-th of the rows, by a mergeable sketch of frequent items: one pass, bounded whatever the table.
+
+    Joins use it to choose where rows meet, never which rows there are, so its small errors change no result.
+    """
+    known = df.where(F.col(key).isNotNull())
+    n, top = known.agg(F.count("*"), F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {8 * HOT_KEYS})")).first()
+    return [x["item"] for x in top or [] if x["count"] > max(HOT_ROWS, n / HOT_KEYS)]
+
+
+def joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", hot: list | None = None) -> DataFrame:
+    """``left`` joined ("inner" or "left") with ``right``, which has one row a key, where a few keys may hold most of ``left``.
+
+    Rows of ``left`` with a hot value of the (first) key meet their few rows of ``right`` by broadcast, rows without a key meet none; only
+    the rest is shuffled, so no task gets the rows of a hot key. Both sides should be cut off, as they are read twice.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    hot = hot_keys(left, keys[0]) if hot is None else hot
+    known = left.where(F.col(keys[0]).isNotNull())
+    if hot:
+        among = F.col(keys[0]).isin(hot)
+        few = right.where(among)  # at most HOT_KEYS values, and one row a key
+        out = known.where(~among).join(right.where(~among), keys, how).unionByName(known.where(among).join(F.broadcast(few), keys, how))
+    else:
+        out = known.join(right, keys, how)
+    if how == "left":
+        none = [F.lit(None).cast(t).alias(c) for c, t in right.dtypes if c not in keys]
+        out = out.unionByName(left.where(F.col(keys[0]).isNull()).select("*", *none))
+    return out
 
 
 def ship(spark: SparkSession) -> None:
