@@ -1,17 +1,19 @@
 """Embedding near-duplicates: inverted lists, product-quantised residuals, table-lookup distances, exact cosine rerank.
 
-Equal vectors are first folded into one class with its number of copies. Coarse centroids and the codebooks
+Equal vectors are first folded into one class with its number of copies, whatever their ids. Coarse centroids and the codebooks
 of the residuals are fitted on a bounded sample; every class is indexed under its nearest centroid and asked
 for under the centroids near it. A list is split into blocks of bounded size, so no task holds a whole hot
 list. Inside a block the asymmetric distance to a code, less the stored error of that code, can only be too
 small, so the filter drops no pair of a probed list; what stays is compared exactly in double precision.
 
-A pair is counted in one block only: where both directions would find it, the one with the smaller asking id
+A pair is counted in one block only: where both directions would find it, the one with the smaller asking class
 counts. Blocks give sums of links and a spanning forest, never all pairs.
 
 Defined cases: vectors that are null, empty or zero, or hold a null or non-finite component, link with nothing and are kept;
-shorter vectors count as padded with zeros; repeated ids are rows of their own class and count as links of each other; extra
-columns and labels are ignored; an empty table gives an empty result.
+shorter vectors count as padded with zeros, so one that equals another but for zeros at its end is a class of its own with a cosine of 1; very long
+vectors are taken whole; rows of one id are vectors of their own, which link by what they hold; rows without an id link
+like others, and a component of such rows alone has no id; a cosine of exactly the threshold links; extra columns and labels are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm.forest import forest
 from strandlake.operators.graph import connected_components
-from strandlake.runtime import cut
+from strandlake.runtime import cut, giving_back, joined
 
 #: Rows fitted on (expected, picked by hash), most inverted lists, subspaces, codes of each, lists asked at most, rows of a block.
 FIT_ROWS, MOST_LISTS, SUBSPACES, CODES, PROBES, BLOCK = 20_000, 4096, 8, 256, 8, 1500
@@ -124,14 +126,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PR
     fine = e.isNotNull() & (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
     key = [F.when(fine, F.xxhash64("embedding")).alias("h1"), F.when(fine, F.xxhash64(F.lit(7), "embedding")).alias("h2")]
     keyed = rows.select("vec_id", *key)
-    classes = cut(keyed.where("h1 is not null").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
+    folded = rows.select("vec_id", "embedding", *key).where("h1 is not null").groupBy("h1", "h2")
+    classes = folded.agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "rep", "copies", "embedding"))  # written once, so an id stays
     n = classes.count()
     alone = keyed.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not n:
         return alone
-    reps = rows.select("vec_id", "embedding", *key).join(classes, ["h1", "h2"]).where("vec_id = rep").select(F.col("rep").alias("id"), "copies", "embedding").dropDuplicates(["id"])
+    reps = classes.select("id", "copies", "embedding")
     width = reps.agg(F.max(F.size("embedding"))).first()[0]
-    sample = reps.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < min(1.0, fit_rows / n) * 1_000_000).select("embedding").toArrow()
+    sample = classes.where(F.pmod("h1", F.lit(1_000_000)) < min(1.0, fit_rows / n) * 1_000_000).select("embedding").toArrow()
     if not len(sample):
         sample = reps.select("embedding").limit(1).toArrow()
     reach = (2 - 2 * threshold) ** 0.5
@@ -162,7 +166,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PR
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "copies", "list", "role", "home", "homes", "vec", "code", "err"])
 
-    entries = cut(reps.mapInArrow(assign, wide))
+    entries = cut(reps.mapInArrow(giving_back(assign), wide))
     sizes = entries.groupBy("list").agg(F.count_if(F.col("role") == 0).alias("n0"), F.count_if(F.col("role") == 1).alias("n1"))
     sizes = sizes.select("list", *[F.greatest(F.lit(1), F.ceil(F.col(f"n{r}") / block)).cast("int").alias(f"b{r}") for r in (0, 1)])
     spread = entries.join(F.broadcast(sizes), "list")  # one row for each of at most MOST_LISTS lists
@@ -207,11 +211,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PR
         return pa.table({"a": pa.concat_arrays([pa.array(ids), pa.array(far)]), "b": pa.concat_arrays([none, pa.array(near)]), "links": pa.array(np.concatenate((sums, zero)))})
 
     found = cut(spread.groupBy("list", "i", "q").applyInArrow(compare, "a bigint, b bigint, links bigint"))
-    links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    links = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("b is not null"))
-    per = classes.join(links, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left").select(
-        "h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component")
-    )
-    out = keyed.join(per, ["h1", "h2"], "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    per = classes.select("id", "h1", "h2", "rep", "copies").join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
+    per = cut(per.select("h1", "h2", "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("component")))
+    first = per.groupBy("component").agg(F.min("rep").alias("first"))
+    per = joined(per, first, "component").select("h1", "h2", "links", "first")
+    out = joined(keyed, per, ["h1", "h2"], "left")
+    component = F.when(F.col("h1").isNull(), F.col("vec_id")).otherwise(F.col("first"))
+    kept = F.coalesce(F.col("vec_id") == component, F.col("h1").isNull())
+    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), kept.alias("kept"))

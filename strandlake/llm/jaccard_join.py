@@ -11,11 +11,13 @@ Equal sets are folded into one node first. Within a signature group every member
 leader, so a group of any size gives as many pairs as members. Members of one leader that are still in
 different components are then compared by their differences from the leader, which are small and settle
 every Jaccard value exactly: in blocks of bounded size, as products of matrices, so that no list of all pairs is
-made and no task holds a whole group. Components lose no link.
+made and no task holds a whole group. Components lose no link. A block holds the differences of its members once, so a
+group of M members that stays open is shipped M / ``MEMBERS`` times; groups within one component are not shipped at all.
 
 Defined cases: texts without words (null or empty) have empty sets, link with nothing and are their own
-component; texts of fewer words than n are one n-gram; repeated rows and equal sets are linked; a row without an
-id is linked with equal sets only; extra columns are ignored; an empty table gives an empty result.
+component; texts of fewer words than n are one n-gram; very long texts are taken whole; repeated rows and equal sets are linked; rows of one id
+with different texts are sets of their own, which link by what they hold; rows without an id link like others, and a component of such rows
+alone has no id; a similarity of exactly the threshold links; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,11 +37,11 @@ from strandlake.llm import seen_twice
 from strandlake.llm import textvec as tv
 from strandlake.llm.forest import forest
 from strandlake.operators.graph import connected_components
-from strandlake.runtime import bounded_batches, cut, hinted, release, rows_with
+from strandlake.runtime import bounded_batches, cut, giving_back, hinted, joined, release, rows_with
 
 #: Growth of a size band; spare segments as a share of those needed; cost of one signature in units of a false pair; sets that one block of comparisons holds;
 #: members of a leader compared in one block; columns of a product.
-BAND_GROWTH, SPARE, SIGNATURE_COST, SETS, MEMBERS, COLUMNS = 1.5, 0.1, 0.05, 500, 600, 2048
+BAND_GROWTH, SPARE, SIGNATURE_COST, SETS, MEMBERS, COLUMNS = 1.5, 0.1, 0.05, 500, 1200, 2048
 BLOCK = 1 << 21
 
 
@@ -146,7 +148,7 @@ def _per_row(docs: DataFrame, n: int) -> DataFrame:
                 prints.append(fingerprint(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64())], names=["doc_id", "n", "fp"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, fp bigint")
+    return docs.mapInArrow(giving_back(run), "doc_id bigint, n bigint, fp bigint")
 
 
 def _signature_keys(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
@@ -161,7 +163,7 @@ def _signature_keys(docs: DataFrame, n: int, plan: Plan) -> DataFrame:
                 keys, times = np.unique(np.concatenate(own), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((keys, keys[times > 1])))], names=["sig"])
 
-    return docs.select("text").mapInArrow(run, "sig bigint")
+    return docs.select("text").mapInArrow(giving_back(run), "sig bigint")
 
 
 def _signature_rows(docs: DataFrame, n: int, plan: Plan, recurring: Broadcast) -> DataFrame:
@@ -185,7 +187,7 @@ def _signature_rows(docs: DataFrame, n: int, plan: Plan, recurring: Broadcast) -
                 cols = [pa.array(np.concatenate(sig)), again(fp, np.int64), again(band, np.int32), again(room, np.int32)]
                 yield pa.RecordBatch.from_arrays(cols, names=["sig", "fp", "band", "room"])
 
-    return docs.select("text").mapInArrow(run, "sig bigint, fp bigint, band int, room int")
+    return docs.select("text").mapInArrow(giving_back(run), "sig bigint, fp bigint, band int, room int")
 
 
 def _set_rows(docs: DataFrame, n: int) -> DataFrame:
@@ -202,7 +204,7 @@ def _set_rows(docs: DataFrame, n: int) -> DataFrame:
                     fps, raw, held = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(raw, pa.binary())], names=["fp", "grams"])
 
-    return docs.mapInArrow(run, "fp bigint, grams binary")
+    return docs.mapInArrow(giving_back(run), "fp bigint, grams binary")
 
 
 def _compared(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, schema: str, found: Callable[[list], pa.RecordBatch]) -> DataFrame:
@@ -214,18 +216,24 @@ def _compared(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, schem
     """
     first = pairs.groupBy("b").agg(F.min("a").alias("p"))
     parts = first.groupBy("p").agg(F.ceil(F.count("*") / SETS).cast("int").alias("parts"))
-    blocks = max(1, 4 * (first.count() // SETS))  # more than the sets need, as first leads are dealt whole
+    blocks = max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8 * (first.count() // SETS))  # more than the sets need, as first leads are dealt whole
     own = first.join(parts, "p").select("b", F.pmod(F.xxhash64("p", F.pmod(F.xxhash64("b"), F.col("parts"))), F.lit(blocks)).cast("int").alias("block"))
     own = hinted(own)
     p = cut(pairs.join(own, "b").select("block", "a", "b"))
     rep = nodes.select("fp", F.col("rep").alias("doc_id"))
-    texts = lambda c: rows_with(base, rep.join(pairs.select(F.col(c).alias("fp")).distinct(), "fp", "left_semi").select("doc_id"), "doc_id")
+    nameless = base.where("doc_id is null").dropDuplicates(["text"])
+
+    def texts(c: str) -> DataFrame:
+        """Texts of the nodes on one side, by the first id that has them, and all that have no id."""
+        wanted = rep.join(pairs.select(F.col(c).alias("fp")).distinct(), "fp", "left_semi").where("doc_id is not null").select("doc_id")
+        return rows_with(base, wanted, "doc_id").union(nameless)
+
     none, null = F.lit(None).cast("binary"), F.lit(0).cast("bigint")
     leads = hinted(p.select("block", F.col("a").alias("fp")).distinct())
     rows = _set_rows(texts("a"), n).join(leads, "fp").select("block", F.lit(0).alias("kind"), F.col("fp").alias("a"), null.alias("b"), "grams")
     rows = rows.union(p.select("block", F.lit(1), "a", "b", none))
     rows = rows.union(_set_rows(texts("b"), n).join(own.withColumnRenamed("b", "fp"), "fp").select("block", F.lit(2), null, F.col("fp"), "grams"))
-    rows = rows.repartition(max(blocks, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block").sortWithinPartitions("block", "kind")
+    rows = rows.repartitionById(blocks, "block").sortWithinPartitions("block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, leads, asked, done = None, {}, {}, set()
@@ -249,7 +257,7 @@ def _compared(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, schem
             if out:
                 yield found(out)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 def _within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -318,7 +326,7 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = cut(_per_row(base, n))
-    nodes = rows.where("fp is not null").groupBy("fp", "n").agg(F.min("doc_id").alias("rep"))
+    nodes = cut(rows.where("fp is not null").groupBy("fp", "n").agg(F.min("doc_id").alias("rep")))
     largest = rows.agg(F.max("n")).first()[0] or 1
     ends = band_ends(largest)
     band = F.lit(0)
@@ -326,8 +334,10 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         band = band + F.when(F.col("n") > int(e), 1).otherwise(0)
     plan = Plan.of(int(largest), percent, {r.band: r["count"] for r in nodes.groupBy(band.alias("band")).count().collect()})
 
-    copies = rows.join(nodes.select("fp", "rep"), "fp").where("doc_id <> rep").select("doc_id").distinct()
-    texts = base.join(hinted(copies), "doc_id", "left_anti").select("text")
+    # texts of ids that are the first of no set need not be read again; an id with several texts is left out only if all are copies
+    named = joined(rows, nodes.select("fp", "rep"), "fp")
+    copies = named.where("doc_id is not null and rep is not null").groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("rep")).alias("again")).where("again")
+    texts = base.join(hinted(copies.select("doc_id")), "doc_id", "left_anti").select("text")
     recurring = seen_twice.recurring(_signature_keys(texts, n, plan), "sig")
     release(docs.sparkSession)
     every = _signature_rows(texts, n, plan, recurring).distinct().persist(StorageLevel.DISK_ONLY)
@@ -361,6 +371,6 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
 
 def _finish(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    named = rows.join(comp, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "fp").alias("c"))
+    named = cut(joined(rows, comp, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "fp").alias("c")))
     first = named.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first"))
-    return named.join(first, "c", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
+    return joined(named, first, "c", "left").select("doc_id", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"))

@@ -6,7 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
+#: Bytes up to which words are hashed side by side; a run without white space can be as long as its text.
+LONG_WORD = 64
 #: A-Z to a-z; every other byte stays.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -60,9 +63,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words, computed for all words at once, byte position by byte position."""
-    h = np.full(len(starts), _BASIS)
-    live, at, left = np.arange(len(starts)), starts.copy(), ends - starts
+    """64-bit hashes of the words: of all up to ``LONG_WORD`` bytes at once, byte position by byte position, of longer ones one by one."""
+    h, left = np.full(len(starts), _BASIS), ends - starts
+    live = np.flatnonzero(left <= LONG_WORD)
+    at, left = starts[live], left[live]
     while len(live):
         h[live] = (h[live] ^ data[at].astype(np.uint64)) * _FNV
         left = left - 1
@@ -70,6 +74,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         if not keep.all():
             live, at, left = live[keep], at[keep], left[keep]
         at = at + 1
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
     return mix(h + (ends - starts).astype(np.uint64))
 
 

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from strandlake import runtime
 from strandlake.llm import decontaminate, embedding_dups, jaccard_join, seen_twice, substring_dedup
 from strandlake.llm.queries import OP6_SQL
 from tests.llm.helpers import FOLD, WORD, frame, jaccard_components, make_docs, odd
@@ -40,6 +41,32 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.components(odd(spark).limit(0)).count() == 0
 
 
+def test_jaccard_repeated_and_missing_ids(spark, monkeypatch):
+    """Rows of one id with different texts, rows without an id, hot sets: every row against every row."""
+    monkeypatch.setattr(runtime, "HOT_ROWS", 5)
+    r = random.Random(21)
+    word = lambda: f"w{r.randrange(3000)}"
+    t, v, lone = ([word() for _ in range(60)] for _ in range(3))
+    texts = [(0, t), (1, t), (1, v), (2, [*v, "z"]), (None, [*v[1:], "y"]), (None, lone), (None, ["q", *lone]), (7, [*t, "end"]), (7, None), (None, None), (8, ["x" * 300, *t[1:], "a", "b"])]
+    texts += [(r.choice([1, 3, 5, None, 20 + i]), t if i % 2 else [*t[: r.randint(56, 60)], *[word() for _ in range(r.randint(0, 3))]]) for i in range(60)]
+    rows = [(i, None if w is None else " ".join(w), "en", "s", 0) for i, w in texts]
+    sets = jaccard_components([(k, x[1]) for k, x in enumerate(rows)], 3, 90)  # by place, so ids may repeat
+    least: dict[int, int | None] = {}
+    for k, (_, c) in sets.items():
+        if rows[k][0] is not None:
+            least[c] = min(rows[k][0], least.get(c, 10**9))
+    want = sorted(((rows[k][0], n, least.get(c) if n else rows[k][0]) for k, (n, c) in sets.items()), key=str)
+    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in jaccard_join.components(frame(spark, rows)).collect()), key=str)
+    assert got == want
+
+
+def test_jaccard_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(40_000))
+    rows = [(1, long, "", "", 0), (2, long + " end", "", "", 0), (3, "n" * 2_000_000, "", "", 0), (4, "n" * 2_000_000, "", "", 0), (5, "n" * 2_000_001, "", "", 0)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.components(frame(spark, rows)).collect()}
+    assert got == {1: (39_998, 1), 2: (39_999, 1), 3: (1, 3), 4: (1, 3), 5: (1, 5)}
+
+
 def test_signatures_find_every_pair():
     r = random.Random(3)
     sizes = {b: 1000 for b in range(40)}
@@ -198,12 +225,34 @@ def test_embeddings(spark, monkeypatch):
     assert embedding_dups.near_duplicates(df.where("vec_id in (400, 401)")).count() == 2
 
 
+def test_embeddings_with_repeated_and_missing_ids(spark, monkeypatch):
+    """Different vectors of one id, vectors without an id, a hot vector: every row against every row."""
+    monkeypatch.setattr(runtime, "HOT_ROWS", 5)
+    r = np.random.default_rng(4)
+    base = r.normal(size=(6, 12))
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (6, [1.0, 0.01, 0.0]), (7, [0.01, 1.0, 0.0]), (None, [0.0, 0.0, 1.0]), (None, [0.0, 0.01, 1.0]), (None, None), (8, [0.0] * 3)]
+    rows += [(int(r.integers(0, 9)) if i % 3 else None, (base[i % 6] + 0.05 * r.normal(size=12)).tolist()) for i in range(60)]
+    rows += [(int(r.integers(20, 40)), base[0].tolist()) for _ in range(30)]
+    x = np.array([np.pad(np.array(v or [0.0], float), (0, 12 - len(v or [0]))) for _, v in rows])
+    size = np.linalg.norm(x, axis=1)
+    link = ((x / np.maximum(size, 1e-9)[:, None]) @ (x / np.maximum(size, 1e-9)[:, None]).T >= 0.9) & (size[:, None] > 0)
+    np.fill_diagonal(link, False)
+    comp = np.arange(len(rows))
+    for _ in rows:
+        comp = np.array([min([comp[i], *comp[link[i]]]) for i in range(len(rows))])
+    named = {c: min((rows[i][0] for i in np.flatnonzero(comp == c) if rows[i][0] is not None), default=None) for c in set(comp.tolist())}
+    want = sorted(((i, int(link[k].sum()), named[comp[k]] if size[k] else i, (i == named[comp[k]]) if size[k] and i is not None and named[comp[k]] is not None else not size[k]) for k, (i, _) in enumerate(rows)), key=str)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(((v.vec_id, v.n_links, v.component_id, v.kept) for v in embedding_dups.near_duplicates(df, 0.9).collect()), key=str)
+    assert got == want
+
+
 def test_words_are_split_alike():
     import pyarrow as pa
 
     from strandlake.llm import textvec as tv
 
-    texts = ["", "A b\tC\x0bd", "  x ", "Ü\u00a0y\nz", "one" * 50]
+    texts = ["", "A b\tC\x0bd", "  x ", "Ü\u00a0y\nz", "one" * 50, "y" * 64 + " " + "y" * 65 + " " + "y" * 66]
     data, off = tv.string_bytes(pa.array(texts))
     low = tv.LOWER[data]
     starts, ends, first = tv.word_spans(low, off, tv.SPACE)
