@@ -1,8 +1,9 @@
 """Language identification by prediction by partial matching: per-language byte context trees with frozen counts.
 
-Every whole text is coded under each learned language; the shortest exact code names the language. Texts that
-are null, empty or have no letter get ``und`` and score 0. Repeated rows get the same answer each; ties go
-to the language that sorts first; extra columns are ignored; without learned rows every text is ``und``.
+Every whole text is coded under each learned language, by that language's own contexts; the shortest exact code names the language.
+All languages of the labelled rows are learned. Texts that are null, empty or have no letter get ``und`` and score 0. Very long
+texts are coded whole; repeated rows get the same answer each; ties go to the language that sorts first; null ids are carried along;
+extra columns are ignored; without learned rows every text is ``und``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import ppm
 from strandlake.llm import textvec as tv
-from strandlake.runtime import bounded_batches
+from strandlake.runtime import bounded_batches, giving_back
 
-#: Bytes of context, contexts kept, labelled rows learned from for each language (expected, by hash of the id), and languages.
-DEPTH, CONTEXTS, ROWS_PER_LANG, MOST_LANGS = 4, 6000, 500, 200
+#: Bytes of context, and labelled rows learned from for each language (expected, by hash of the id).
+DEPTH, ROWS_PER_LANG = 4, 500
+#: Contexts kept of one language, and of all together before each gets fewer, down to the last number: a model of hundreds of languages stays small enough to broadcast.
+CONTEXTS, ALL_CONTEXTS, FEWEST_CONTEXTS = 6000, 48_000, 500
 UNKNOWN = "und"
 
 
@@ -29,12 +32,12 @@ def bucket(doc_id: str | Column, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id) % parts, F.lit(0))
 
 
-def train(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, contexts: int = CONTEXTS) -> tuple[list[str], ppm.Automaton | None]:
-    """Learn from rows ``(doc_id, text, lang)``; rows without a language or text are left out."""
+def train(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, contexts: int = CONTEXTS) -> dict[str, ppm.Automaton]:
+    """An automaton for each language, learned from rows ``(doc_id, text, lang)``; rows without a language or text are left out."""
     rows = labelled.where("lang is not null and text is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return [], None
+        return {}
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, rows_per_lang / n))]), F.col("lang"))
     picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.coalesce(share, F.lit(0.0)) * 1_000_000)
 
@@ -51,27 +54,28 @@ def train(labelled: DataFrame, rows_per_lang: int = ROWS_PER_LANG, contexts: int
             k, n = s.take()
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "key", "n"])
 
-    keyed = picked.select("lang", "text").mapInArrow(count, "lang string, key bigint, n bigint")
+    keyed = picked.select("lang", "text").mapInArrow(giving_back(count), "lang string, key bigint, n bigint")
     keyed = keyed.groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    top, counts = ppm.count_contexts(keyed, DEPTH, ["lang"], contexts)
-    langs = sorted(set(counts.column("lang").to_pylist()))
-    if not langs:
-        return [], None
-    model = np.searchsorted(np.array(langs), np.array(counts.column("lang").to_pylist()))
-    k, ctx, sym, n = (counts.column(x).to_numpy() for x in ("k", "ctx", "sym", "n"))
-    return langs, ppm.build((top.column("k").to_numpy(), top.column("ctx").to_numpy()), (model, k, ctx, sym, n), len(langs), DEPTH)
-
-
-def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None, keep: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, lang_pred, score`` and the columns in ``keep``; the score is the posterior of the language under equal priors."""
-    kept = [c for c in keep if c not in ("doc_id", "text", "lang_pred", "score")] + ["text"] * ("text" in keep)
+    kept = ppm.count_contexts(keyed, DEPTH, "lang", max(FEWEST_CONTEXTS, min(contexts, ALL_CONTEXTS // len(sizes))))
+    lang = kept.column("lang").to_numpy(zero_copy_only=False)
+    k, ctx, sym, n = (kept.column(x).to_numpy() for x in ("k", "ctx", "sym", "n"))
+    out = {}
+    for name in sorted(set(lang.tolist())):
+        own = lang == name
+        out[name] = ppm.build((k[own], ctx[own]), (np.zeros(own.sum(), np.int64), k[own], ctx[own], sym[own], n[own]), 1, DEPTH)
+    return out
+
+
+def predict(docs: DataFrame, models: dict[str, ppm.Automaton], keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, lang_pred, score, bits`` and the columns in ``keep``; the score is the posterior of the language under equal priors, ``bits`` the length of its code for each byte of the text (null without a letter)."""
+    kept = [c for c in keep if c not in ("doc_id", "text", "lang_pred", "score", "bits")] + ["text"] * ("text" in keep)
     types = dict(docs.dtypes)
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((langs, automaton))
+    shared = docs.sparkSession.sparkContext.broadcast(models)
     letter = regex.compile(r"\p{L}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, a = shared.value
+        names, automata = list(shared.value), list(shared.value.values())
         plain = np.zeros(256, bool)
         plain[65:91] = plain[97:123] = True
         for batch in batches:
@@ -83,17 +87,18 @@ def predict(docs: DataFrame, langs: list[str], automaton: ppm.Automaton | None,
                 known[i:j] = letters[off[i + 1 : j + 1] - off[i]] > letters[off[i:j] - off[i]]
             for i in np.flatnonzero(~known & (np.diff(off) > 0)) if names else []:
                 known[i] = bool(letter.search(bytes(data[off[i] : off[i + 1]]).decode("utf-8", "replace")))
-            best, score = np.zeros(n, int), np.zeros(n)
+            best, score, bits = np.zeros(n, int), np.zeros(n), np.zeros(n)
             if names:
-                sums = ppm.score_rows(a, data, off, False) * np.log(10)
+                sums = np.column_stack([ppm.score_rows(a, data, off, False)[:, 0] for a in automata]) * np.log(10)
                 best = sums.argmax(1)
+                bits = -sums.max(1) / np.log(2) / np.maximum(1, np.diff(off))
                 with np.errstate(under="ignore"):
                     score = np.where(known, 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1), 0.0)
             pred = [names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-            cols = [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), *[batch.column(c) for c in kept]]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang_pred", "score", *kept])
+            cols = [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64(), mask=~known), *[batch.column(c) for c in kept]]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang_pred", "score", "bits", *kept])
 
     others = [c for c in kept if c != "text"]
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *others)
-    schema = "doc_id bigint, lang_pred string, score double" + "".join(f", `{c}` {types[c]}" for c in others) + ", text string" * ("text" in kept)
-    return picked.mapInArrow(run, schema)
+    schema = "doc_id bigint, lang_pred string, score double, bits double" + "".join(f", `{c}` {types[c]}" for c in others) + ", text string" * ("text" in kept)
+    return picked.mapInArrow(giving_back(run), schema)

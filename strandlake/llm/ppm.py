@@ -1,8 +1,8 @@
 """Prediction by partial matching over bytes: counting, frozen models as automata, and batch scoring.
 
 Training counts every (context, next byte) of order 0 to ``depth`` in one pass: only the longest grams are
-counted from text, shorter ones are sums of these. Contexts that occur most become the states of an
-automaton whose state is the longest known context of the history. For each state the probability of
+counted from text, shorter ones are sums of these. The contexts that occur most in a group become the states of its
+automaton, whose state is the longest known context of the history. For each state the probability of
 every byte is worked out once, with escapes (method C) down the chain of shorter contexts and exclusion
 of the bytes that a longer context already offered, so scoring is one table lookup for each byte.
 
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm import textvec as tv
+from strandlake.runtime import cut, drop
 
 #: Bytes that UTF-8 never has: before a text starts, and after it ends.
 BEFORE, END = 0xFE, 0xFF
@@ -39,24 +40,36 @@ def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
     return key[padded[depth:] != BEFORE]
 
 
-def count_contexts(keyed: DataFrame, depth: int, groups: list[str], most: int) -> tuple[pa.Table, pa.Table]:
-    """Of summed gram counts ``(*groups, key, n)``: the contexts seen most, ``most`` of them for each run, and their next bytes.
+def count_contexts(keyed: DataFrame, depth: int, group: str, most: int) -> pa.Table:
+    """``group, k, ctx, sym, n``: of summed gram counts ``(group, key, n)`` the contexts seen most in each group, at most ``most``, and their next bytes.
 
-    Returns tables ``k, ctx, total`` over all groups together and ``*groups, k, ctx, sym, n``; both are
-    bounded by ``most``, whatever the corpus.
+    Which these are is read from a histogram of their totals, so nothing is sorted or gathered; what comes to the
+    driver is bounded by the groups and ``most``.
     """
     orders = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * k)) - 1).cast("bigint")).alias("ctx"))
         for k in range(depth + 1)
     ]))
     every = (
-        keyed.select(*groups, F.col("key").bitwiseAND(F.lit(255).cast("bigint")).cast("int").alias("sym"), "n", orders.alias("o"))
-        .groupBy(*groups, F.col("o.k").alias("k"), F.col("o.ctx").alias("ctx"), "sym").agg(F.sum("n").alias("n"))
+        keyed.select(group, F.col("key").bitwiseAND(F.lit(255).cast("bigint")).cast("int").alias("sym"), "n", orders.alias("o"))
+        .groupBy(group, F.col("o.k").alias("k"), F.col("o.ctx").alias("ctx"), "sym").agg(F.sum("n").alias("n"))
     )
-    top = every.groupBy("k", "ctx").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "k", "ctx").limit(most)
-    contexts = top.toArrow()
-    wanted = keyed.sparkSession.createDataFrame(contexts.select(["k", "ctx"]))
-    return contexts, every.join(F.broadcast(wanted), ["k", "ctx"]).select(*groups, "k", "ctx", "sym", "n").toArrow()
+    trees = cut(every.groupBy(group, "k", "ctx").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("sym", "n"))).alias("next")))
+    bucket = F.floor(F.log2("total") * 16).cast("int")
+    room: dict[str, int] = {}
+    least: dict[str, int] = {}
+    for name, b, size in sorted(map(tuple, trees.groupBy(group, bucket.alias("b")).count().collect()), key=lambda r: (r[0], -r[1])):
+        if room.setdefault(name, most) >= size:
+            least[name] = b
+            room[name] -= size
+        else:
+            room[name] = -1
+    if not least:
+        return pa.table({group: pa.array([], pa.string()), **{c: pa.array([], pa.int64()) for c in ("k", "ctx", "sym", "n")}})
+    floor = F.element_at(F.create_map(*[F.lit(x) for kv in least.items() for x in kv]), F.col(group))
+    kept = trees.where(bucket >= floor).select(group, "k", "ctx", F.explode("next").alias("sym", "n")).toArrow()
+    drop(trees)
+    return kept
 
 
 @dataclass

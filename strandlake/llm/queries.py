@@ -57,8 +57,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from labelled rows whose bucket of 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
-    langs, automaton = language_id.train(docs.where(bucket("doc_id", 4) != 2))
-    found = language_id.predict(docs, langs, automaton)
+    found = language_id.predict(docs, language_id.train(docs.where(bucket("doc_id", 4) != 2)))
     return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 

@@ -113,14 +113,49 @@ def test_language(spark):
     r = random.Random(1)
     en, de = ["the", "and", "of", "with", "house"], ["der", "und", "mit", "schön", "häuser"]
     rows = [(i, " ".join(r.choice(en if i % 2 else de) for _ in range(30)), "en" if i % 2 else "de", "s", 0) for i in range(80)]
-    langs, a = language_id.train(frame(spark, rows))
+    models = language_id.train(frame(spark, rows))
+    langs = list(models)
     assert langs == ["de", "en"]
     tests = [(1, "the house and of", None, None, 0), (2, "und der mit häuser", None, None, 0), (3, None, None, None, 0), (4, "", None, None, 0), (5, "12 !!", None, None, 0), (6, "é", None, None, 0), (None, "und und", None, None, 0), (1, "the house and of", None, None, 0)]
-    got = [(x.doc_id, x.lang_pred) for x in language_id.predict(frame(spark, tests), langs, a).collect()]
+    got = [(x.doc_id, x.lang_pred) for x in language_id.predict(frame(spark, tests), models).collect()]
     assert sorted(got, key=str) == sorted([(1, "en"), (1, "en"), (2, "de"), (3, "und"), (4, "und"), (5, "und"), (6, got[[x[0] for x in got].index(6)][1]), (None, "de")], key=str)
     assert dict((x for x in got if x[0] == 6))[6] in langs
-    none, nothing = language_id.train(frame(spark, rows).limit(0))
-    assert none == [] and {x.lang_pred for x in language_id.predict(frame(spark, tests), none, nothing).collect()} == {"und"}
+    none = language_id.train(frame(spark, rows).limit(0))
+    assert none == {} and {x.lang_pred for x in language_id.predict(frame(spark, tests), none).collect()} == {"und"}
+
+
+def test_language_against_slow_ppm(spark):
+    """Several languages, one of them rare and in a script of its own: each text's code length under every language's own tree."""
+    r = random.Random(3)
+    vocab = {"aa": ["abra", "kadabra", "bra"], "bb": ["Über", "öde", "abra"], "el": ["αβγ", "δελ", "γαβ"]}
+    size = {"aa": 40, "bb": 30, "el": 3}
+    rows = [(i, " ".join(r.choice(vocab[x]) for _ in range(12)), x, "s", 0) for i, x in enumerate(k for k, n in size.items() for _ in range(n))]
+    counts: dict[str, dict[bytes, dict[int, int]]] = {}
+    for _, t, lang, *_ in rows:
+        raw = bytes([ppm.BEFORE]) * language_id.DEPTH + t.translate(FOLD).encode()
+        for i in range(language_id.DEPTH, len(raw)):
+            for k in range(language_id.DEPTH + 1):
+                own = counts.setdefault(lang, {}).setdefault(raw[i - k : i], {})
+                own[raw[i]] = own.get(raw[i], 0) + 1
+    tests = [(i, t, None, "s", 0) for i, t in enumerate(["abra kadabra", "öde öde über", "αβγ", "γαβ δελ abra", "zebra 9", "x", "abra " * 900])]
+    got = {x.doc_id: x for x in language_id.predict(frame(spark, tests), language_id.train(frame(spark, rows))).collect()}
+    for i, t, *_ in tests:
+        raw = bytes([ppm.BEFORE]) * language_id.DEPTH + t.translate(FOLD).encode()
+        bits = {x: -sum(math.log2(slow_ppm(c, None, language_id.DEPTH, raw[:j], raw[j])) for j in range(language_id.DEPTH, len(raw))) for x, c in counts.items()}
+        best = min(sorted(bits), key=bits.get)
+        assert got[i].lang_pred == best and abs(got[i].bits - bits[best] / len(t.encode())) < 1e-3
+        assert abs(got[i].score - 1 / sum(2.0 ** max(-1000, bits[best] - b) for b in bits.values())) < 1e-3
+
+
+def test_every_language_has_contexts_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "CONTEXTS", 120)
+    monkeypatch.setattr(language_id, "FEWEST_CONTEXTS", 20)
+    rows = [(i, "one two three four five six seven " * 5, "big", "s", 0) for i in range(300)] + [(1000 + i, f"ж{chr(0x430 + i)} щит", f"l{i:03}", "s", 0) for i in range(24)]
+    models = language_id.train(frame(spark, rows), contexts=120)
+    assert len(models) == 25 and all(len(a.move) > a.width for a in models.values())
+    tests = [(i, f"ж{chr(0x430 + i)} щит", None, "s", 0) for i in range(24)]
+    got = {x.doc_id: x.lang_pred for x in language_id.predict(frame(spark, tests), models).collect()}
+    assert sum(got[i] == f"l{i:03}" for i in range(24)) >= 20
 
 
 def test_lm_scores(spark, monkeypatch):
