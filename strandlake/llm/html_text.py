@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.url_filter import path
+from strandlake.runtime import giving_back
 
 #: Labelled pages learned from (expected, picked by hash), generated layouts, feature counts kept.
 LABELLED_PAGES, LAYOUTS, MOST_COUNTS = 800, 240, 50_000
@@ -350,7 +351,7 @@ def train(pages: DataFrame | None, docs: DataFrame | None, labelled_pages: int =
                         out.update(own)
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], names=["key", "n"])
 
-        rows = pairs.mapInArrow(count, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+        rows = pairs.mapInArrow(giving_back(count), "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
         real.update({r.key: r.n for r in rows.orderBy(F.desc("n"), "key").limit(MOST_COUNTS).collect()})
     steps = [sum(v for k, v in c.items() if k[0] == "t") for c in (made, real)]
     scale = steps[0] / steps[1] if steps[1] else 0.0
@@ -369,4 +370,4 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "text", "n_chars"])
 
     picked = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return picked.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    return picked.mapInArrow(giving_back(run), "page_id bigint, url string, text string, n_chars bigint")

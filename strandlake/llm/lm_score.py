@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import ppm
 from strandlake.llm import textvec as tv
-from strandlake.runtime import cut
+from strandlake.runtime import cut, giving_back
 
 #: Bytes of the longest context, and last bytes of a context by which rare grams are dealt.
 DEPTH, NEAR = 5, 3
@@ -63,7 +63,7 @@ def count(texts: DataFrame) -> DataFrame:
         for kind, s in ((0, words), (1, grams)):
             yield _flush(kind, s)
 
-    parts = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind int, key bigint, n bigint")
+    parts = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(giving_back(run), "kind int, key bigint, n bigint")
     return parts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -144,7 +144,7 @@ def _rare(cold: DataFrame, grams: DataFrame) -> DataFrame:
                 stay = held_place == place[-1]
                 held_place, held_key, held_n, known = held_place[stay], held_key[stay], held_n[stay], None
 
-    return dealt.mapInArrow(run, "row bigint, score double")
+    return dealt.mapInArrow(giving_back(run), "row bigint, score double")
 
 
 def score(docs: DataFrame, learned: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def score(docs: DataFrame, learned: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, names=["kind", "row", "doc_id", "key", "times", "n_tokens", "known", "base", "score"])
 
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = cut(picked.mapInArrow(run, "kind int, row bigint, doc_id bigint, key bigint, times bigint, n_tokens bigint, known bigint, base double, score double"))
+    parts = cut(picked.mapInArrow(giving_back(run), "kind int, row bigint, doc_id bigint, key bigint, times bigint, n_tokens bigint, known bigint, base double, score double"))
     found = parts.where("kind = 0").join(words, "key", "left")
     rare = F.when(F.col("times") > 0, F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(floor))).otherwise(0.0)
     by_word = found.select(
