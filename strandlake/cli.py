@@ -7,8 +7,9 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.operators import repeats, signal, simulate
+from strandlake.operators import intervals, repeats, signal, simulate, variants
 from strandlake.plans import pipelines
+from strandlake.runtime import cut
 from strandlake.sources import reads as fq
 from strandlake.sources import sinks, text, vcf
 
@@ -28,8 +29,10 @@ def parser() -> argparse.ArgumentParser:
     command("PrepareReads", "fastq", "out", fraction={"type": float, "default": 0.5}, seed={"type": int, "default": 1})
     command("Structure", "sam", "out", ratio_threshold={"type": float, "default": 0.15}, min_mapq={"type": int, "default": 30})
     command("Repeats", "coords", "chrom", "out", min_identity={"type": float, "default": 98.0}, min_length={"type": int, "default": 400})
-    command("FilterVariants", "vcf", "out", repeats={"default": None}, regions={"default": None})
-    command("SummariseVariants", "vcf", "out", calls={"default": None})
+    command("AlignReads", "sam", "out")
+    command("CallVariants", "vcf", "out")
+    command("FilterVariants", "vcf", "out", repeats={"default": None}, regions={"default": None}, genbank={"default": None})
+    command("SummariseVariants", "vcf", "out", calls={"default": None}, genbank={"default": None})
     command("CheckLinkage", "vcf", "sam", "out", min_depth={"type": int, "default": 20})
     command("ComparativeAnalysis", "vcf", "genome", "out", sam={"nargs": "+", "default": None}, all_sites={"action": "store_true"}, core_only={"action": "store_true"})
     command("SimulateReads", "genome", "out", num_snps={"type": int, "default": 100}, genomes={"type": int, "default": 3}, seed={"type": int, "default": 1})
@@ -57,22 +60,42 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         chroms = fq.sam_header(lines)[1].select("chrom", "length").distinct()
         sinks.save_table(signal.depth(reads, 10, a.min_mapq), f"{out}/depth")
         sinks.write_csv(pipelines.rearranged_regions(reads, chroms, 10, a.min_mapq, a.ratio_threshold), f"{out}/regions", ["chrom", "sample", "filter", "start"])
+        found = spark.read.csv(f"{out}/regions", header=True, inferSchema=True)
+        if found.columns:
+            sinks.write_csv(intervals.totals(found, ["sample", "filter"]), f"{out}/totals", ["sample", "filter"])
+    elif a.command == "AlignReads":
+        sinks.save_table(fq.coordinate_sorted(signal.mark_duplicates(fq.sam(spark, a.sam))), f"{out}/reads")
+    elif a.command == "CallVariants":
+        lines = vcf.lines(spark, a.vcf)
+        marked = sinks.marked_vcf_of(lines, pipelines.hard_filter_marks(vcf.rows(lines)))
+        sinks.write_lines(marked, f"{out}/hard_filtered", ["ord"])
     elif a.command == "Repeats":
         hits = text.aligner_coords(spark, a.coords).where(F.col("identity") >= a.min_identity).withColumn("chrom", F.lit(a.chrom))
         ranges = repeats.merge_ranges(repeats.self_overlap_removed(hits), ["chrom"], a.min_length)
         sinks.write_csv(ranges, f"{out}/repeats", ["chrom", "start"])
     elif a.command == "FilterVariants":
         ranges = lambda p: spark.read.csv(p, header=True, inferSchema=True) if p else None
-        sinks.save_table(pipelines.filtered(vcf.calls(vcf.lines(spark, a.vcf)), ranges(a.repeats), ranges(a.regions)), f"{out}/calls")
+        lines = vcf.lines(spark, a.vcf)
+        calls = cut(pipelines.filtered(vcf.calls(lines), ranges(a.repeats), ranges(a.regions)))
+        sinks.save_table(calls, f"{out}/calls")
+        features = text.genbank(spark, a.genbank)[1].where("kind <> 'mobile'") if a.genbank else None
+        sinks.write_csv(variants.filtered_report(calls, pipelines.FILTER_ORDER, features), f"{out}/filtered", ["sample", "position", "filter"])
+        sinks.write_lines(sinks.marked_vcf_of(lines, pipelines.range_marks(calls, vcf.sample_names(lines))), f"{out}/vcf", ["ord"])
     elif a.command == "SummariseVariants":
         lines = vcf.lines(spark, a.vcf)
         calls = spark.read.parquet(a.calls) if a.calls else vcf.calls(lines)
         samples = sorted(r["sample"] for r in vcf.sample_names(lines).select("sample").distinct().collect())
         for name, df in pipelines.summaries(calls, samples, vcf.no_calls(lines)).items():
             sinks.write_csv(df, f"{out}/{name}", df.columns[:4])
+        for name, df in variants.grouped_list(calls, pipelines.FILTER_ORDER, len(samples), "reads").items():
+            sinks.write_csv(df, f"{out}/masked_{name}", ["Position", "Reference", "Variant", "Filter"])
+        if a.genbank:
+            genome, features = text.genbank(spark, a.genbank)
+            orfs = variants.with_orfs(features.where("kind <> 'mobile'"), genome)
+            sinks.write_csv(variants.annotated_summary(calls, samples, orfs, vcf.no_calls(lines)), f"{out}/annotated", ["Chromosome", "`Position (bp)`", "Reference", "Variant"])
     elif a.command == "CheckLinkage":
-        pooled = vcf.pooled(vcf.lines(spark, a.vcf)).select("chrom", "pos1", "ref", F.explode("alts").alias("alt"))
-        sinks.write_csv(pipelines.linked_alleles(pooled, fq.sam(spark, a.sam), min_depth=a.min_depth), f"{out}/linkage", ["pos_a", "pos_b"])
+        for name, df in pipelines.linkage_reports(vcf.pooled(vcf.lines(spark, a.vcf)), fq.sam(spark, a.sam), min_depth=a.min_depth).items():
+            sinks.write_csv(df, f"{out}/{name}", df.columns[:4])
     elif a.command == "ComparativeAnalysis":
         lines = vcf.lines(spark, a.vcf)
         depth = signal.depth(fq.sam(spark, a.sam)) if a.sam else None

@@ -82,10 +82,10 @@ def alignment_variants(ref: Column, query: Column, start0: Column) -> Column:
     r, q = F.split(ref, ""), F.split(query, "")
     lead = F.greatest(end_gaps(ref)["leading"], end_gaps(query)["leading"])
     trail = F.greatest(end_gaps(ref)["trailing"], end_gaps(query)["trailing"])
-    places = F.aggregate(r, F.array().cast("array<int>"), lambda acc, c: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.when(c == "-", 0).otherwise(1))))
-    rows = F.transform(F.sequence(F.lit(1), F.size(r)), lambda i: F.struct((start0 + F.element_at(places, i)).alias("pos1"), F.element_at(r, i).alias("ref"), F.element_at(q, i).alias("alt"), i.alias("i")))
+    before = lambda i: F.length(F.translate(F.substring(ref, F.lit(1), i), "-", ""))
+    rows = F.transform(F.sequence(F.lit(1), F.size(r)), lambda i: F.struct(F.element_at(r, i).alias("ref"), F.element_at(q, i).alias("alt"), i.alias("i")))
     kept = F.filter(rows, lambda x: (x["ref"] != x["alt"]) & (x["i"] > lead) & (x["i"] <= F.size(r) - trail))
-    return F.transform(kept, lambda x: F.struct(x["pos1"].alias("pos1"), x["ref"].alias("ref"), x["alt"].alias("alt")))
+    return F.transform(kept, lambda x: F.struct((start0 + before(x["i"])).alias("pos1"), x["ref"].alias("ref"), x["alt"].alias("alt")))
 
 
 def window_identity(a: Column, b: Column, window: int = 100, step: int = 20) -> Column:

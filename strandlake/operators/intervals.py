@@ -79,6 +79,13 @@ def subtract_ranges(a: DataFrame, b: DataFrame, keys: Sequence[str] = ()) -> Dat
     return merge_ranges(swept.where("na > 0 and nb = 0 and end is not null").select(*keys, "start", "end"), keys)
 
 
+def totals(ranges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``n, bp``: number of ranges of each key and the positions that they cover together."""
+    n = ranges.where("start < end").groupBy(*keys).agg(F.count("*").alias("n"))
+    bp = merge_ranges(ranges, keys).groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("bp"))
+    return n.join(bp, list(keys)) if keys else n.crossJoin(F.broadcast(bp))  # one row each
+
+
 def drop_shared_ends(ranges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Ranges fused where one ends exactly where another starts: ends that occur twice vanish, the rest pair up in order."""
     points = ranges.select(*keys, F.explode(F.array("start", "end")).alias("at")).groupBy(*keys, "at").agg(F.count("*").alias("n")).where("n = 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandlake.operators.intervals import points_in_ranges
@@ -24,7 +25,7 @@ def columns(snps: DataFrame, samples: DataFrame, reference: DataFrame, gaps: Dat
     ``?`` without a call, else the reference base. With ``core_only`` positions with a gap in any sample go.
     """
     sites = reference if all_sites else reference.join(snps.select("chrom", "pos1").distinct(), ["chrom", "pos1"], "left_semi")
-    grid = sites.crossJoin(F.broadcast(samples.select("sample").distinct()))  # one row for each cell of the result
+    grid = sites.crossJoin(samples.select("sample").distinct())  # the result itself has a row for each site and sample
     holes = points_in_ranges(grid.select("sample", "chrom", "pos1"), gaps.select("sample", "chrom", "start", "end"), "pos1", ["sample", "chrom"], "left_semi", width).withColumn("_gap", F.lit(True))
     own = snps.groupBy("sample", "chrom", "pos1").agg(F.min("alt").alias("_alt"))
     on = ["sample", "chrom", "pos1"]
@@ -40,10 +41,12 @@ def columns(snps: DataFrame, samples: DataFrame, reference: DataFrame, gaps: Dat
 
 
 def numbered(cells: DataFrame) -> DataFrame:
-    """Cells with an alignment column (from 1) by chromosome and position; the small table of positions is numbered once."""
-    from pyspark.sql import Window as W
-
-    place = cells.select("chrom", "pos1").distinct().withColumn("col", F.row_number().over(W.orderBy("chrom", "pos1")))
+    """Cells with an alignment column (from 1) by chromosome and position: numbered within each chromosome, plus those of the chromosomes before it."""
+    place = cells.select("chrom", "pos1").distinct()
+    sizes = place.groupBy("chrom").agg(F.count("*").alias("_n"))
+    before = sizes.select("chrom", F.coalesce(F.sum("_n").over(W.orderBy("chrom").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row for each chromosome
+    own = place.withColumn("_r", F.row_number().over(W.partitionBy("chrom").orderBy("pos1")))
+    place = own.join(before, "chrom").select("chrom", "pos1", (F.col("_before") + F.col("_r")).cast("int").alias("col"))
     return cells.join(place, ["chrom", "pos1"])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake.functions.sequence import codon_change
 from strandlake.operators.intervals import points_in_ranges
 
 SITE = ["chrom", "pos1", "ref", "alt"]
@@ -126,7 +127,7 @@ def name_of_samples(samples: Sequence[str]) -> Column:
 
 
 def annotate(calls: DataFrame, features: DataFrame, width: int = 10_000) -> DataFrame:
-    """Calls with the sorted names of all features ``(start0, end0]`` that hold them, and ``multi`` if there are several."""
+    """Calls with the sorted names of all features ``(start0, end0]`` that hold them, and ``multi`` if there are several; ``annotate_open`` leaves out the end."""
     ranges = features.select("chrom", "locus", F.col("start0").alias("start"), F.col("end0").alias("end"))
     hits = points_in_ranges(calls.select("chrom", "pos1").distinct(), ranges, "pos1", ["chrom"], "inner", width)
     named = hits.groupBy("chrom", "pos1").agg(F.array_sort(F.collect_set("locus")).alias("_l"))
@@ -134,6 +135,81 @@ def annotate(calls: DataFrame, features: DataFrame, width: int = 10_000) -> Data
     return out.select(*calls.columns, F.array_join(F.coalesce("_l", F.array().cast("array<string>")), ",").alias("features"), (F.size(F.coalesce("_l", F.array().cast("array<string>"))) > 1).alias("multi"))
 
 
+def annotate_open(calls: DataFrame, features: DataFrame, width: int = 10_000) -> DataFrame:
+    """Calls (one row for each allele) with the feature that holds them, ``start0 < pos1 < end0``, and what a substitution does to its codon.
+
+    ``features``: ``chrom, locus, start0, end0, strand, gene, orf`` with ``orf`` the feature's own forward sequence. Adds ``gene_id, gene_name,
+    strand, ref_codon, var_codon, ref_aa, var_aa, codon_pos``; where several features hold a call they are named together and the rest is
+    ``multi`` (strand and place in the codon are null); calls in no feature have empty strings.
+    """
+    ranges = features.select("chrom", "locus", "gene", "strand", "start0", "end0", "orf", F.col("start0").alias("start"), F.col("end0").alias("end"))
+    sites = calls.select(*SITE).distinct()
+    hits = points_in_ranges(sites, ranges, "pos1", ["chrom"], "inner", width, closed_end=False)
+    change = codon_change(F.col("orf"), F.col("start0"), F.col("end0"), F.col("strand"), F.col("pos1"), F.col("ref"), F.col("alt"))
+    own = hits.select(*SITE, F.struct("locus", F.coalesce("gene", F.lit("")).alias("gene"), "strand", change.alias("c")).alias("h"))
+    per = own.groupBy(*SITE).agg(F.array_sort(F.collect_list("h")).alias("h"))
+    n, first = F.size("h"), F.col("h")[0]
+    single = lambda c: F.when(n == 1, c)
+    word = lambda c: F.when(n == 1, c).otherwise("multi")
+    named = per.select(
+        *SITE, F.array_join(F.transform("h", lambda x: x["locus"]), ",").alias("gene_id"), F.array_join(F.transform("h", lambda x: x["gene"]), ",").alias("gene_name"),
+        single(first["strand"]).alias("strand"), word(first["c"]["codon"]).alias("ref_codon"), word(first["c"]["new_codon"]).alias("var_codon"),
+        word(first["c"]["aa"]).alias("ref_aa"), word(first["c"]["new_aa"]).alias("var_aa"), single(first["c"]["codon_pos"]).alias("codon_pos"),
+    )
+    return calls.join(named, SITE, "left").fillna("", ["gene_id", "gene_name", "ref_codon", "var_codon", "ref_aa", "var_aa"])
+
+
+def with_orfs(features: DataFrame, genome: DataFrame) -> DataFrame:
+    """Features with their own forward sequence ``orf``."""
+    return features.join(genome.select("chrom", "seq"), "chrom").withColumn("orf", F.substring("seq", F.col("start0") + 1, F.col("end0") - F.col("start0"))).drop("seq")
+
+
+# The columns of the simple summary before those of the samples, and ours.
+SUMMARY_COLUMNS = {
+    "Chromosome": "chrom", "Position (bp)": "pos1", "Reference": "ref", "Variant": "alt", "Gene ID": "gene_id", "Gene name": "gene_name", "Strand": "strand",
+    "Reference codon": "ref_codon", "Variant codon": "var_codon", "Reference AA": "ref_aa", "Variant AA": "var_aa", "Codon position": "codon_pos",
+}
+
+
+def annotated_summary(calls: DataFrame, samples: Sequence[str], features: DataFrame, no_calls: DataFrame | None = None, no_data: str = "?") -> DataFrame:
+    """The summary with the columns of the features and codons; ``features`` as for ``annotate_open``. Outside features strand is 0 and the codon position -1."""
+    wide = annotate_open(summary(calls, samples, no_calls, no_data), features)
+    several = F.col("gene_id").contains(",")
+    wide = wide.withColumn("strand", F.coalesce(F.col("strand").cast("string"), F.when(several, "multi").otherwise("0")))
+    wide = wide.withColumn("codon_pos", F.coalesce(F.col("codon_pos").cast("string"), F.when(several, "multi").when(F.col("gene_id") != "", "-").otherwise("-1")))
+    return wide.select(*[F.col(c).alias(n) for n, c in SUMMARY_COLUMNS.items()], *[F.col(f"`{x}`") for x in (*samples, "Frequency", "Frequency (filtered)")])
+
+
+def filtered_report(calls: DataFrame, names: Sequence[str], features: DataFrame | None = None) -> DataFrame:
+    """``sample, position, CDS, reference, variant, filter``: a row for each call and filter that masks it; CDS names the features ``(start0, end0]`` that hold it."""
+    own = F.array_intersect("filters", F.array(*map(F.lit, names)).cast("array<string>"))
+    rows = calls.select("sample", *SITE, F.explode(own).alias("filter"))
+    if features is None:
+        rows = rows.withColumn("features", F.lit(""))
+    else:
+        shown = F.when(F.coalesce("gene", F.lit("")) != "", F.concat("locus", F.lit(" ("), "gene", F.lit(")"))).otherwise(F.col("locus"))
+        rows = annotate(rows, features.withColumn("locus", shown))
+    return rows.select("sample", F.col("pos1").alias("position"), F.col("features").alias("CDS"), F.col("ref").alias("reference"), F.col("alt").alias("variant"), "filter")
+
+
+def grouped_list(calls: DataFrame, names: Sequence[str], samples: int, group: str) -> dict[str, DataFrame]:
+    """The list of masked and retained alleles (``Position, Reference, Variant, Frequency, Sample Group, Filter``): of all calls, of those that differ among samples, and of those that only differ from the reference."""
+    classed = frequency_class(calls, samples)
+    parts = {"all": classed, "among": classed.where("class = 'among'"), "to_reference": classed.where("class = 'to_reference'")}
+    return {
+        n: masked_and_retained(x, names).select(F.col("pos1").alias("Position"), F.col("ref").alias("Reference"), F.col("alt").alias("Variant"), F.col("frequency").alias("Frequency"), F.lit(group).alias("Sample Group"), F.col("filter").alias("Filter"))
+        for n, x in parts.items()
+    }
+
+
+def checked_report(checked: DataFrame) -> DataFrame:
+    """``Sample, Chromosome, Position, Reference, Variant, Status, Filters`` of calls compared with local assemblies."""
+    return checked.select(
+        F.col("sample").alias("Sample"), F.col("chrom").alias("Chromosome"), F.col("pos1").alias("Position"), F.col("ref").alias("Reference"),
+        F.col("alt").alias("Variant"), F.col("status").alias("Status"), F.array_join(F.array_sort("filters"), "+").alias("Filters"),
+    )
+
+
 def missing_samples(calls: DataFrame, alignments: DataFrame) -> DataFrame:
     """Samples with calls but no alignment, which later steps need."""
     return calls.select("sample").distinct().join(alignments.select("sample").distinct(), "sample", "left_anti")

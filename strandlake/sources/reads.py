@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.runtime import hinted
+
 _NAME = r"([^/]+?)(?:\.fastq|\.fq)(?:\.gz)?$"
 
 
@@ -81,9 +83,14 @@ def sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     c = F.split("line", "\t")
     body = text.where(~F.col("line").startswith("@")).select("file", c.alias("c"), F.regexp_extract("line", r"\tRG:Z:([^\t]+)", 1).alias("rg"))
     bit = lambda b: F.col("flag").bitwiseAND(b) > 0
-    x = body.select("file", "rg", F.col("c")[0].alias("qname"), F.col("c")[1].cast("int").alias("flag"), F.col("c")[2].alias("chrom"), (F.col("c")[3].cast("int") - 1).alias("start0"), F.col("c")[4].cast("int").alias("mapq"), F.col("c")[5].alias("cigar"), F.col("c")[8].cast("int").alias("tlen"), F.col("c")[9].alias("seq"), F.col("c")[10].alias("q"))
+    x = body.select("file", "rg", F.get("c", 0).alias("qname"), F.get("c", 1).try_cast("int").alias("flag"), F.get("c", 2).alias("chrom"), (F.get("c", 3).try_cast("int") - 1).alias("start0"), F.get("c", 4).try_cast("int").alias("mapq"), F.get("c", 5).alias("cigar"), F.get("c", 8).try_cast("int").alias("tlen"), F.get("c", 9).alias("seq"), F.get("c", 10).alias("q"))
     span = F.aggregate(F.filter(cigar_ops(F.col("cigar")), lambda o: o["op"].isin("M", "D", "N", "=", "X")), F.lit(0), lambda acc, o: acc + o["n"])
     flags = {"is_proper": 2, "is_unmapped": 4, "mate_unmapped": 8, "is_reverse": 16, "is_read1": 64, "is_read2": 128, "is_secondary": 256, "is_qcfail": 512, "is_dup": 1024}
-    x = x.join(F.broadcast(groups.groupBy("file").agg(F.first("sample").alias("own"))), "file", "left")
+    x = x.join(hinted(groups.groupBy("file").agg(F.min("sample").alias("own"))), "file", "left")
     qual = F.transform(F.filter(F.split("q", ""), lambda ch: ch != ""), lambda ch: F.ascii(ch) - 33)
     return x.select(F.coalesce(F.nullif("rg", F.lit("")), "own").alias("sample"), "chrom", "qname", *[bit(b).alias(n) for n, b in flags.items()], "mapq", "start0", (F.col("start0") + span).alias("end0"), "tlen", "seq", F.when(F.col("q") == "*", F.array().cast("array<int>")).otherwise(qual).alias("qual"), aligned_pairs(F.col("cigar"), F.col("start0")).alias("pairs"))
+
+
+def coordinate_sorted(reads: DataFrame) -> DataFrame:
+    """Reads in the order of their places, unmapped ones last; a range shuffle, so a chromosome spreads over tasks."""
+    return reads.orderBy(F.col("is_unmapped"), "chrom", "start0", "end0", "qname", "is_read2")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.operators.variants import filter_names as names_in
+from strandlake.runtime import hinted
+
 # The columns that a VCF body starts with.
 FIXED = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
 
@@ -38,23 +41,27 @@ def rows(text: DataFrame) -> DataFrame:
     """The body: fixed columns, ``info`` (flags have a null value) and ``cells``, one for each sample."""
     c = F.split("line", "\t")
     body = text.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select("file", "ord", c.alias("c"))
-    entries = F.array_distinct(F.filter(F.split(F.col("c")[7], ";"), lambda x: (x != "") & (x != ".")))
+    entries = F.array_distinct(F.filter(F.split(F.get("c", 7), ";"), lambda x: (x != "") & (x != ".")))
     keys = F.transform(entries, lambda e: F.element_at(F.split(e, "=", 2), 1))
     pairs = F.filter(F.transform(entries, lambda e, i: F.struct(F.element_at(F.split(e, "=", 2), 1).alias("k"), F.try_element_at(F.split(e, "=", 2), F.lit(2)).alias("v"), i.alias("i"))), lambda p: F.array_position(keys, p["k"]) == p["i"] + 1)
     info = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v"))))
-    fixed = [F.col("c")[i].alias(n.lower()) for i, n in enumerate(FIXED) if n not in ("POS", "INFO", "FORMAT")]
-    return body.select("file", "ord", *fixed, F.col("c")[1].cast("int").alias("pos1"), info.alias("info"), F.split(F.col("c")[8], ":").alias("format"), F.slice("c", 10, F.greatest(F.lit(0), F.size("c") - 9)).alias("cells"))
+    fixed = [F.get("c", i).alias(n.lower()) for i, n in enumerate(FIXED) if n not in ("POS", "INFO", "FORMAT")]
+    return body.select("file", "ord", *fixed, F.get("c", 1).try_cast("int").alias("pos1"), info.alias("info"), F.split(F.get("c", 8), ":").alias("format"), F.slice("c", 10, F.greatest(F.lit(0), F.size("c") - 9)).alias("cells"))
 
 
 def calls(text: DataFrame, filter_names: list[str] | None = None) -> DataFrame:
     """``file, sample, chrom, pos1, ref, alt, alt_count, ploidy, filters``: one row for each called allele of a sample.
 
-    ``filters`` holds the row's FILTER entries and the INFO entries ``name=i,j`` that list the sample's place;
-    only those in ``filter_names`` if given. Reference and missing genotypes have no row; see ``no_calls``.
+    ``filters`` holds the row's FILTER entries, and those INFO entries ``name=i,j`` listing the sample's place (from 0) whose name the header
+    describes as a filter; with ``filter_names`` only these names. Other INFO entries never are filters, whatever their
+    values. Reference and missing genotypes have no row; see ``no_calls``.
     """
+    declared = [r.name for r in names_in(meta(text)).where("per_sample").select("name").distinct().collect()]  # of the header only
+    per_sample = [n for n in declared if filter_names is None or n in filter_names]
     g = _genotypes(text)
-    own = F.filter(F.map_entries("info"), lambda e: e["value"].isNotNull() & F.array_contains(F.split(e["value"], ","), F.col("place").cast("string")) & ~e["key"].isin("AC", "AN", "AF", "DP", "MQ", "QD", "FS"))
-    marks = F.array_union(F.filter(F.split("filter", ";"), lambda f: ~f.isin("PASS", ".")), F.transform(own, lambda e: e["key"]))
+    lists_sample = lambda e: e["key"].isin(per_sample) & e["value"].isNotNull() & F.array_contains(F.split(e["value"], ","), F.col("place").cast("string"))
+    own = F.transform(F.filter(F.map_entries("info"), lists_sample), lambda e: e["key"]) if per_sample else F.array().cast("array<string>")
+    marks = F.array_union(F.filter(F.split("filter", ";"), lambda f: ~f.isin("PASS", ".")), own)
     if filter_names is not None:
         marks = F.array_intersect(marks, F.array(*map(F.lit, filter_names)).cast("array<string>"))
     alleles = F.array_distinct(F.filter("gt", lambda x: x > 0))
@@ -71,13 +78,13 @@ def no_calls(text: DataFrame) -> DataFrame:
 def _genotypes(text: DataFrame) -> DataFrame:
     body = rows(text).select("file", "chrom", "pos1", "ref", "alt", "filter", "info", "format", F.posexplode("cells").alias("place", "cell"))
     gt = F.try_element_at(F.split("cell", ":"), F.array_position("format", F.lit("GT")).cast("int"))
-    return body.join(F.broadcast(sample_names(text)), ["file", "place"]).withColumn("gt", F.transform(F.split(gt, "[/|]"), lambda x: x.try_cast("int")))
+    return body.join(hinted(sample_names(text)), ["file", "place"]).withColumn("gt", F.transform(F.split(gt, "[/|]"), lambda x: x.try_cast("int")))
 
 
 def pooled(text: DataFrame, min_gq: int = 0) -> DataFrame:
-    """Pooled calls of a single-sample file: PASS rows with genotype quality, ``gt array<int>``, ``alts`` and the rest of INFO and FORMAT."""
-    r = rows(text).where(F.col("filter") == "PASS")
-    data = F.map_from_arrays("format", F.slice(F.concat(F.split(F.element_at("cells", 1), ":"), F.array_repeat(F.lit(None).cast("string"), F.size("format"))), F.lit(1), F.size("format")))
+    """Pooled calls of single-sample files: ``sample``, PASS rows with genotype quality, ``gt array<int>``, ``alts`` and the rest of INFO and FORMAT."""
+    r = rows(text).join(hinted(sample_names(text).where("place = 0").select("file", "sample")), "file", "left").where(F.col("filter") == "PASS")
+    data = F.map_from_arrays("format", F.slice(F.concat(F.split(F.get("cells", 0), ":"), F.array_repeat(F.lit(None).cast("string"), F.size("format"))), F.lit(1), F.size("format")))
     r = r.withColumn("data", data).where(F.coalesce(F.col("data")["GQ"].try_cast("double"), F.lit(0.0)) >= min_gq)
     info = F.map_filter("info", lambda k, v: v.isNotNull() & (k != "set"))
-    return r.select("file", "chrom", "pos1", "ref", F.split("alt", ",").alias("alts"), F.transform(F.split(F.col("data")["GT"], "[/|]"), lambda x: x.try_cast("int")).alias("gt"), info.alias("info"), "data")
+    return r.select("file", "sample", "chrom", "pos1", "ref", F.split("alt", ",").alias("alts"), F.transform(F.split(F.col("data")["GT"], "[/|]"), lambda x: x.try_cast("int")).alias("gt"), info.alias("info"), "data")
