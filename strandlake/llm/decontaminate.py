@@ -10,8 +10,9 @@ words stay equal under it); the verification folds A-Z alone.
 The corpus is read twice: once for the places of all benchmark shingles, which give both their rarity and the
 candidates, and once to verify. Sides are broadcast only if counted to be small, else joined by shuffle.
 
-Defined cases: null and empty texts have no words, no hits and are not contaminated; repeated documents are judged each
-by itself; repeated items are items of their own if their ids differ; items with no words have no
+Defined cases: null and empty texts have no words, no hits and are not contaminated; very long texts are read whole; repeated documents, and
+rows of one id with different texts, are judged each by itself; of equally rare shingles the one with the smaller hash is the prefix, which changes no
+result; repeated items are items of their own if their ids differ; items with no words have no
 window; empty tables on either side give no hits; extra columns are ignored.
 """
 

@@ -9,8 +9,9 @@ Counts for the potentials come from labelled pages: pages whose document is know
 URL's path names it), and a generated set of page layouts, both weighing the same.
 
 Defined cases: null and empty pages give an empty text; unclosed elements end where their parent does, an
-unclosed comment or script takes the rest; repeated rows are read each; extra columns are ignored; without labelled
-pages the generated layouts alone are learned from.
+unclosed comment or script takes the rest; very long pages are read whole; repeated rows are read each; a marginal of exactly one half
+is content; null ids and addresses are carried along; extra columns are ignored; without labelled
+pages the generated layouts alone are learned from; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from strandlake.llm.url_filter import path
 from strandlake.runtime import giving_back
 
-#: Labelled pages learned from (expected, picked by hash), generated layouts, feature counts kept.
-LABELLED_PAGES, LAYOUTS, MOST_COUNTS = 800, 240, 50_000
+#: Labelled pages learned from (expected, picked by hash), and generated layouts; what they hold bounds the model.
+LABELLED_PAGES, LAYOUTS = 800, 240
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rb rp rt rtc ruby s samp small span strike strong sub sup time tt u var wbr img br input label picture source".split()
@@ -352,7 +353,7 @@ def train(pages: DataFrame | None, docs: DataFrame | None, labelled_pages: int =
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], names=["key", "n"])
 
         rows = pairs.mapInArrow(giving_back(count), "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-        real.update({r.key: r.n for r in rows.orderBy(F.desc("n"), "key").limit(MOST_COUNTS).collect()})
+        real.update({r.key: r.n for r in rows.collect()})
     steps = [sum(v for k, v in c.items() if k[0] == "t") for c in (made, real)]
     scale = steps[0] / steps[1] if steps[1] else 0.0
     return Model.of({k: made[k] + scale * real[k] for k in made.keys() | real.keys()})

@@ -7,8 +7,9 @@ the rest of each text, once for each distinct one, meets the count tables by key
 is broadcast. Grams are dealt by the last ``NEAR`` bytes of their context: their longer contexts are in one place,
 and the shorter ones, no more than an alphabet allows, are at hand everywhere.
 
-Defined cases: a null or empty text has one token, its end; repeated rows are scored each; without training
-rows all counts are 0; extra columns are ignored; a null id counts as held out.
+Defined cases: a null or empty text has one token, its end; very long texts are scored whole; repeated rows, and rows of one id with different
+texts, are scored each; words equally frequent at the bound of the local tables change where they are looked up, not what is found; without training
+rows all counts are 0; extra columns are ignored; a null id counts as held out; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -118,5 +118,26 @@ from folded f left join places on f.id = places.doc_id left join named on f.id =
 """
 
 
+#: Links by brute force: shared shingles of every pair of documents that has any.
+OP5_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), sets as (
+  select distinct doc_id, array_to_string(list_slice(w, s, s + least(3, len(w)) - 1), ' ') as t
+  from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) as s from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from sets group by doc_id
+), links as (
+  select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as k from sets x join sets y on x.t = y.t and x.doc_id <> y.doc_id group by 1, 2) p
+  join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 90 * (x.n + y.n - k)
+), reach(node, other) as (
+  select doc_id, doc_id from sizes union select r.node, l.b from reach r join links l on l.a = r.other
+), least_ as (
+  select node, min(other) as c from reach group by node
+)
+select w.doc_id, coalesce(n, 0) as n_shingles, coalesce(c, w.doc_id) as component_id from words w left join sizes s on s.doc_id = w.doc_id left join least_ l on l.node = w.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6_SQL}
+    return {"op5_jaccard_join": OP5_SQL, "op6_decontaminate": OP6_SQL}
