@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     command("CollectData", "genbank", "out")
     command("PrepareReads", "fastq", "out", fraction={"type": float, "default": 0.5}, seed={"type": int, "default": 1})
     command("Structure", "sam", "out", ratio_threshold={"type": float, "default": 0.15}, min_mapq={"type": int, "default": 30})
-    command("Repeats", "coords", "chrom", "out", min_identity={"type": float, "default": 98.0}, min_length={"type": int, "default": 400})
+    command("Repeats", "out", coords={"default": None}, chrom={"default": None}, genbank={"default": None}, min_identity={"type": float, "default": 98.0}, min_length={"type": int, "default": 400})
     command("AlignReads", "sam", "out")
     command("CallVariants", "vcf", "out")
     command("FilterVariants", "vcf", "out", repeats={"default": None}, regions={"default": None}, genbank={"default": None})
@@ -70,6 +70,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         marked = sinks.marked_vcf_of(lines, pipelines.hard_filter_marks(vcf.rows(lines)))
         sinks.write_lines(marked, f"{out}/hard_filtered", ["ord"])
     elif a.command == "Repeats":
+        if not a.coords:  # our own finder, from the features of a genome
+            genome, features = text.genbank(spark, a.genbank)
+            found = repeats.find_repeats(genome, features.where("kind <> 'mobile'"), a.min_identity / 100, a.min_length)
+            sinks.write_csv(found, f"{out}/repeats", ["chrom", "start"])
+            return
         hits = text.aligner_coords(spark, a.coords).where(F.col("identity") >= a.min_identity).withColumn("chrom", F.lit(a.chrom))
         ranges = repeats.merge_ranges(repeats.self_overlap_removed(hits), ["chrom"], a.min_length)
         sinks.write_csv(ranges, f"{out}/repeats", ["chrom", "start"])

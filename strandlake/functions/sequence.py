@@ -99,14 +99,38 @@ def window_identity(a: Column, b: Column, window: int = 100, step: int = 20) ->
 
 #: Scores of the global alignment; stated here because no others are prescribed.
 MATCH, MISMATCH, GAP_OPEN, GAP_EXTEND = 1, -2, -4, -1
-#: Longest sequence that is aligned whole; longer ones are to be cut into pieces first.
-LONGEST = 20_000
+#: Cells of a matrix (one byte each) above which a pair is cut in two.
+MOST_CELLS = 32_000_000
+
+
+def _ends(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best scores of all of ``x`` against each beginning of ``y``, and of those that end in a gap of ``y``, row by row."""
+    ext = np.arange(len(y) + 1) * GAP_EXTEND
+    best = np.concatenate(([0], GAP_OPEN + ext[1:]))
+    gap = np.full(len(y) + 1, -(10**8), np.int64)
+    for i, c in enumerate(x, 1):
+        gap = np.maximum(best + GAP_OPEN + GAP_EXTEND, gap + GAP_EXTEND)
+        new = gap.copy()
+        new[1:] = np.maximum(new[1:], best[:-1] + np.where(y == c, MATCH, MISMATCH))
+        new[0] = GAP_OPEN + i * GAP_EXTEND
+        new[1:] = np.maximum(new[1:], np.maximum.accumulate(new - ext)[:-1] + GAP_OPEN + ext[1:])
+        best = new
+    return best, gap
 
 
 def align_pair(a: str, b: str, free_ends: bool = False) -> tuple[str, str]:
-    """Global alignment with affine gaps, row-wise in NumPy; with ``free_ends`` gaps at either end of a row cost nothing."""
-    if max(len(a), len(b)) > LONGEST:
-        raise ValueError(f"sequences longer than {LONGEST} are to be cut into pieces")
+    """Global alignment with affine gaps, row-wise in NumPy; with ``free_ends`` gaps at either end of a row cost nothing.
+
+    Memory is bounded by ``MOST_CELLS``: a larger pair is cut at the middle of ``a``, where the best alignment crosses it, and both parts are
+    aligned by themselves; a gap that is cut counts as opened twice (with ``free_ends`` the outer ends stay free only if the whole pair fits).
+    """
+    if (len(a) + 1) * (len(b) + 1) > MOST_CELLS and len(a) > 1:
+        x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
+        half = len(a) // 2
+        (h0, g0), (h1, g1) = _ends(x[:half], y), _ends(x[half:][::-1], y[::-1])
+        at = int(np.maximum(h0 + h1[::-1], g0 + g1[::-1] - GAP_OPEN).argmax())
+        left, right = align_pair(a[:half], b[:at]), align_pair(a[half:], b[at:])
+        return left[0] + right[0], left[1] + right[1]
     x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
     n, m = len(x), len(y)
     low = -10**8

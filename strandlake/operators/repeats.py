@@ -12,6 +12,7 @@ from strandlake.functions.sequence import global_align, reverse_complement, wind
 from strandlake.operators.graph import connected_components
 from strandlake.operators.intervals import merge_ranges, overlap_join, points_in_ranges
 from strandlake.operators.islands import binned_ambiguous
+from strandlake.runtime import cut
 
 
 def ranked(features: DataFrame) -> DataFrame:
@@ -32,6 +33,66 @@ def double_hits(hits: DataFrame, features: DataFrame, least: float = 0.5, width:
     return x.where((part > least * (F.col("f_end") - F.col("f_start"))) & (part > least * F.col("query_length")) & (F.col("query") != F.col("locus"))).select("query", F.col("locus").alias("hit")).distinct()
 
 
+def feature_hits(features: DataFrame, genome: DataFrame, k: int = 15, least: float = 0.15) -> DataFrame:
+    """``query, hit``: features (``chrom, locus, start0, end0``) that share ``least`` of the k-mers of the shorter one, on either strand, both ways round.
+
+    An equi-join of distinct k-mers takes the place of searching features in the genome; k-mers that are their own are dropped before.
+    """
+    own = features.join(genome.select("chrom", "seq"), "chrom").select("locus", F.substring("seq", F.col("start0") + 1, F.col("end0") - F.col("start0")).alias("s"))
+    own = own.where(F.length("s") >= k)
+    mers = own.select("locus", F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - k + 1), lambda i: F.substring("s", i, F.lit(k)))).alias("m"))
+    mers = cut(mers.select("locus", F.xxhash64(F.least("m", reverse_complement(F.col("m")))).alias("m")).distinct())
+    sizes = mers.groupBy("locus").agg(F.count("*").alias("n"))
+    often = mers.groupBy("m").agg(F.count("*").alias("_c")).where("_c > 1").select("m")
+    shared = mers.join(often, "m")
+    both = shared.select("m", F.col("locus").alias("query")).join(shared.select("m", F.col("locus").alias("hit")), "m").where("query <> hit")
+    n = both.groupBy("query", "hit").agg(F.count("*").alias("common"))
+    n = n.join(sizes.withColumnsRenamed({"locus": "query", "n": "nq"}), "query").join(sizes.withColumnsRenamed({"locus": "hit", "n": "nh"}), "hit")
+    return n.where(F.col("common") >= least * F.least("nq", "nh")).select("query", "hit")
+
+
+def extended_pairs(blocks: DataFrame, genome: DataFrame, extend: int = 1000) -> DataFrame:
+    """Blocks (each pair once) with both ends moved out by ``extend`` and the sequences of both sides, the second on the first one's strand.
+
+    Sides that would overlap are cut at the middle between them, so no sequence is compared with itself.
+    """
+    once = blocks.where((F.col("query_chrom") < F.col("hit_chrom")) | ((F.col("query_chrom") == F.col("hit_chrom")) & (F.col("query_from") < F.col("hit_from"))))
+    g = genome.select(F.col("chrom"), F.length("seq").alias("len"), "seq")
+    x = once.join(g.withColumnsRenamed({"chrom": "query_chrom", "len": "a_len", "seq": "a_chr"}), "query_chrom").join(g.withColumnsRenamed({"chrom": "hit_chrom", "len": "b_len", "seq": "b_chr"}), "hit_chrom")
+    same = F.col("query_chrom") == F.col("hit_chrom")
+    middle = F.floor((F.col("query_to") + F.col("hit_from")) / 2).cast("int")
+    a_to, b_from = F.least(F.col("query_to") + extend, "a_len"), F.greatest(F.col("hit_from") - extend, F.lit(0))
+    x = x.select(
+        F.col("block").alias("group"), "query_chrom", "hit_chrom", "strand", F.greatest(F.col("query_from") - extend, F.lit(0)).alias("a_start"),
+        F.when(same, F.least(a_to, middle)).otherwise(a_to).alias("a_end"), F.when(same, F.greatest(b_from, middle)).otherwise(b_from).alias("b_start"),
+        F.least(F.col("hit_to") + extend, "b_len").alias("b_end"), "a_chr", "b_chr",
+    ).where("a_start < a_end and b_start < b_end")
+    b = F.substring("b_chr", F.col("b_start") + 1, F.col("b_end") - F.col("b_start"))
+    return x.withColumns({
+        "a": F.substring("a_chr", F.col("a_start") + 1, F.col("a_end") - F.col("a_start")), "b": F.when(F.col("strand") < 0, reverse_complement(b)).otherwise(b),
+    }).drop("a_chr", "b_chr")
+
+
+def find_repeats(genome: DataFrame, features: DataFrame, min_identity: float = 0.95, min_length: int = 400, extend: int = 1000, max_distance: int = 3, step: int = 20) -> DataFrame:
+    """``chrom, start, end``: ranges of a genome that reads cannot be told apart in, longer than ``min_length``.
+
+    ``genome``: ``chrom, seq``; ``features``: ``chrom, locus, start0, end0, strand``. Features with shared k-mers are hits; contiguous hits are
+    blocks; blocks are extended, aligned and read in windows; windows of ``min_identity`` are placed back on both sides and
+    united. The extension reaches as far as the windows stay that much alike.
+    """
+    hits = cut(feature_hits(features, genome))
+    pairs = extended_pairs(contiguous_blocks(features, hits, max_distance), genome, extend)
+    aligned = cut(pairs.withColumn("al", global_align("a", "b")).select(
+        "group", "query_chrom", "hit_chrom", "strand", "a_start", "a_end", "b_start", "b_end", F.lit(1).alias("plus"),
+        F.col("al.a").alias("a_seq"), F.col("al.b").alias("b_seq"), window_identity(F.col("al.a"), F.col("al.b"), 100, step).alias("pid"),
+    ))
+    sides = []
+    for side, chrom, strand in (("a", "query_chrom", "plus"), ("b", "hit_chrom", "strand")):
+        placed = chromosome_places(aligned, side, f"{side}_start", f"{side}_end", strand)
+        sides.append(placed.join(aligned.select("group", F.col(chrom).alias("chrom")), "group").select("chrom", "pos0", "pid"))
+    return ambiguous_regions(sides[0].union(sides[1]), ["chrom"], min_identity, step, min_length)
+
+
 def homology_groups(hits: DataFrame) -> DataFrame:
     """``node, component`` of loci connected by hits, whichever way they point."""
     return connected_components(hits, "query", "hit")
@@ -55,18 +116,30 @@ def adjacent_hits(features: DataFrame, hits: DataFrame, max_distance: int = 3) -
 def contiguous_blocks(features: DataFrame, hits: DataFrame, max_distance: int = 3) -> DataFrame:
     """``block, query_from, query_to, hit_from, hit_to, n``: runs of hits between two stretches of nearby features.
 
-    A hit pair is a node; pairs that are each other's neighbours on both sides, in the same or in opposite order,
-    are linked; the components of this graph are the blocks.
+    A hit pair is a node; pairs that are each other's neighbours on both sides are linked; the components of this graph are
+    the blocks. With a column ``strand`` order is kept: hits on the same strand go on in the same direction, hits on opposite strands in
+    opposite ones, and neither goes over into the other; without it both directions count.
     """
     near = adjacent_hits(features, hits, max_distance)
+    if "strand" in features.columns:
+        place = ranked(features).select("locus", "rank", "strand")
+        for n, c in enumerate(("query", "hit", "near_query", "near_hit")):
+            near = near.join(place.select(F.col("locus").alias(c), F.col("rank").alias(f"_r{n}"), F.col("strand").alias(f"_s{n}")), c)
+        turn = F.col("_s0") * F.col("_s1")
+        near = near.where((turn == F.col("_s2") * F.col("_s3")) & (F.signum("step") * F.signum(F.col("_r3") - F.col("_r1")) == turn))
     name = lambda a, b: F.concat_ws("\t", a, b)
     pairs = near.select(name("query", "hit").alias("a"), name("near_query", "near_hit").alias("b"))
     single = hits.select(name("query", "hit").alias("a"), name("query", "hit").alias("b"))
     comp = connected_components(pairs.union(single))
     loci = comp.select("component", F.split("node", "\t")[0].alias("query"), F.split("node", "\t")[1].alias("hit"))
     r = ranked(features)
-    x = loci.join(r.select(F.col("locus").alias("query"), F.col("start0").alias("qs"), F.col("end0").alias("qe")), "query").join(r.select(F.col("locus").alias("hit"), F.col("start0").alias("hs"), F.col("end0").alias("he")), "hit")
-    return x.groupBy(F.col("component").alias("block")).agg(F.min("qs").alias("query_from"), F.max("qe").alias("query_to"), F.min("hs").alias("hit_from"), F.max("he").alias("hit_to"), F.count("*").alias("n"))
+    strand = F.col("strand") if "strand" in features.columns else F.lit(1)
+    side = lambda name, c: r.select(F.col("locus").alias(name), F.col("chrom").alias(f"{c}c"), F.col("start0").alias(f"{c}s"), F.col("end0").alias(f"{c}e"), strand.alias(f"{c}d"))
+    x = loci.join(side("query", "q"), "query").join(side("hit", "h"), "hit")
+    return x.groupBy(F.col("component").alias("block")).agg(
+        F.min("qs").alias("query_from"), F.max("qe").alias("query_to"), F.min("hs").alias("hit_from"), F.max("he").alias("hit_to"), F.count("*").alias("n"),
+        F.min("qc").alias("query_chrom"), F.min("hc").alias("hit_chrom"), F.when(F.sum(F.col("qd") * F.col("hd")) < 0, -1).otherwise(1).alias("strand"),
+    )
 
 
 def tandem(features: DataFrame, groups: DataFrame, most: int = 3) -> DataFrame:
