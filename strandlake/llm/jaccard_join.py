@@ -337,7 +337,10 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     # texts of ids that are the first of no set need not be read again; an id with several texts is left out only if all are copies
     named = joined(rows, nodes.select("fp", "rep"), "fp")
     copies = named.where("doc_id is not null and rep is not null").groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("rep")).alias("again")).where("again")
-    texts = base.join(hinted(copies.select("doc_id")), "doc_id", "left_anti").select("text")
+    # rows without an id match nothing here; a key of their own keeps them from meeting in one task
+    alone = F.when(F.col("doc_id").isNull(), F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("bigint"))
+    keyed = base.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), alone.alias("alone"), "text")
+    texts = keyed.join(hinted(copies.select("doc_id", F.lit(0).cast("bigint").alias("alone"))), ["doc_id", "alone"], "left_anti").select("text")
     recurring = seen_twice.recurring(_signature_keys(texts, n, plan), "sig")
     release(docs.sparkSession)
     every = _signature_rows(texts, n, plan, recurring).distinct().persist(StorageLevel.DISK_ONLY)

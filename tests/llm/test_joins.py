@@ -155,6 +155,42 @@ def test_passages(spark):
     assert substring_dedup.passages(odd(spark)).count() == 0 and substring_dedup.passages(odd(spark).limit(0)).count() == 0
 
 
+def test_long_texts(spark):
+    """Texts of hundreds of thousands of words and words of millions of bytes, read whole: what is at their very end is found."""
+    r = random.Random(31)
+    tail = [f"t{r.randrange(10**6)}" for _ in range(60)]
+    long = " ".join(f"w{i}" for i in range(200_000))
+    rows = [(1, " ".join(tail), "", "", 0), (2, long + " " + " ".join(tail), "", "", 0), (3, "n" * 3_000_000 + " " + " ".join(tail), "", "", 0)]
+    found = {x.doc_id: x for x in substring_dedup.passages(frame(spark, rows)).collect()}
+    assert set(found) == {2, 3} and (found[2].start_word, found[2].end_word) == (200_000, 200_060) and (found[3].start_word, found[3].end_word) == (1, 61)
+    bench = spark.createDataFrame([(7, " ".join(tail[-8:])), (8, " ".join(tail[-9:-1]))], "item_id bigint, text string")
+    got = {x.doc_id: (x.n_words, x.n_hit, x.n_items) for x in decontaminate.find(frame(spark, rows), bench).collect()}
+    assert got == {1: (60, 9, 2), 2: (200_060, 9, 2), 3: (61, 9, 2)}
+
+
+def test_passages_of_a_hot_source(spark, monkeypatch):
+    """Many documents with a passage of one first holder: the same rows, whether or not its pieces are taken out of the shuffle."""
+    r = random.Random(17)
+    text = lambda k: [f"w{r.randrange(9000)}" for _ in range(k)]
+    p = text(70)
+    rows = [(i, " ".join(text(r.randint(0, 30)) + p[: 35 + i % 4] + ["other"] * (i % 2) + p[35 + i % 4 :] + text(10)), "en", "s", 0) for i in range(40)]
+    plain = sorted(map(tuple, substring_dedup.passages(frame(spark, rows)).collect()))
+    monkeypatch.setattr(runtime, "HOT_ROWS", 2)
+    assert sorted(map(tuple, substring_dedup.passages(frame(spark, rows)).collect())) == plain and {x[0] for x in plain} == set(range(1, 40))
+
+
+def test_joins_with_hot_keys(spark, monkeypatch):
+    """Hot, missing and repeated keys: the rows of a plain join."""
+    monkeypatch.setattr(runtime, "HOT_ROWS", 3)
+    left = runtime.cut(spark.createDataFrame([(k, j, v) for v, (k, j) in enumerate([(1, 1)] * 30 + [(2, 1), (2, 2), (None, 1), (3, None), (9, 9)])], "k bigint, j bigint, v int"))
+    right = runtime.cut(spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (4, 4, "c")], "k bigint, j bigint, w string"))
+    assert runtime.hot_keys(left, "k") == [1]
+    for how in ("inner", "left"):
+        want = sorted(map(tuple, left.join(right, ["k", "j"], how).select("k", "j", "v", "w").collect()), key=str)
+        assert sorted(map(tuple, runtime.joined(left, right, ["k", "j"], how).select("k", "j", "v", "w").collect()), key=str) == want
+    assert runtime.joined(left.limit(0), right, ["k", "j"], "left").count() == 0
+
+
 def test_passages_whose_pieces_are_held_earlier(spark):
     """A whole passage of which earlier documents hold pieces, also with holders of pieces in between."""
     r = random.Random(12)

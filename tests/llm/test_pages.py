@@ -150,6 +150,14 @@ def test_rules_from_whole_urls(spark):
     assert got == {i: bad for i, (_, bad) in enumerate(new)}
 
 
+def test_long_urls(spark):
+    tail = "/".join(f"f{i}" for i in range(20_000))
+    rows = [(f"https://h.example/{'bad' if i % 2 else 'good'}/{i}", bool(i % 2)) for i in range(100)]
+    index = url_filter.mine(spark.createDataFrame(rows, "url string, blocked boolean"))
+    pages = spark.createDataFrame([(1, f"https://h.example/{tail}/bad/7"), (2, f"https://h.example/{tail}/good/7")], "page_id bigint, url string")
+    assert {x.page_id: x.verdict for x in url_filter.judge(pages, [], index).collect()} == {1: "block", 2: "allow"}
+
+
 def test_every_class_word_counts():
     words = " ".join(f"a{c}" for c in "abcdefghijklmnop")
     nodes = html_text.parse(f'<html><body><div class="{words} story"><p id="one">text</p></div><div class="{words} sidebar"><p>more</p></div></body></html>')

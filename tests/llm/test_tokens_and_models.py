@@ -207,6 +207,20 @@ def test_lm_score_uses_every_context(spark, monkeypatch):
             assert abs(want - got[i]) < 1e-6 * max(1, abs(want)), (hot, i, want, got[i])
 
 
+def test_long_texts(spark):
+    """Texts of a million words: scored whole, one by one, as many short ones would be."""
+    long = "ab cd " * 500_000
+    rows = [(1, long, "en", "s", 0), (2, "x" * 2_000_000, "en", "s", 0), (3, "ab cd", "en", "s", 0)]
+    df = frame(spark, rows)
+    got = {x.doc_id: x for x in lm_score.score(df, df.where("doc_id = 3")).collect()}
+    one = math.log10((1 + 0.1) / (3 + 0.1 * 4))
+    assert (got[1].n_tokens, got[1].n_known) == (1_000_001, 1_000_001) and abs(got[1].base_score - 1_000_001 * one) < 1e-3
+    assert (got[2].n_tokens, got[2].n_known) == (2, 1) and got[1].score < got[3].score < 0
+    models = language_id.train(df.where("doc_id = 3"))
+    assert {x.doc_id: x.lang_pred for x in language_id.predict(df, models).collect()} == {1: "en", 2: "en", 3: "en"}
+    assert {x.doc_id: x.n_tokens for x in byte_bpe.encode_documents(df, PATH, P.PATTERN).collect()}[1] >= 1_000_000
+
+
 def test_toxicity_grammar():
     g = toxicity.Matcher(toxicity.Grammar({"clown": 4.0}, {"foul": 3.0}))
     one = lambda t: dict(zip(toxicity.CHANNELS, g.channels(t), strict=True))
