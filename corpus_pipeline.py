@@ -18,8 +18,8 @@ from strandlake.llm import byte_bpe, decontaminate, jaccard_join, language_id, s
 from strandlake.runtime import cut, rows_with, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Bits for each byte at which a text is in none of the learned languages: what any byte costs without a model.
-NO_LANGUAGE = 8.0
+#: Bits of a byte without a model, and bits by which the shortest code of a text exceeds these if it is in none of the learned languages.
+PLAIN, BEYOND = 8.0, 64.0
 
 
 def _with_own_ids(docs: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def _given(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no language: null texts, texts without a letter, and texts that no learned language codes shorter than plain bytes.
+    """Drops documents in no language: null texts, texts without a letter, and texts whose code is longer than plain bytes under every learned language,
+    by a margin that a few odd characters of a short text do not reach.
 
     Documents that stay and have no ``lang`` get the one found. Without any learned language, texts without a letter go and the others stay as they are.
     """
@@ -49,7 +50,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not models:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_id.predict(docs, models, keep=COLUMNS)
-    stay = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("bits") < NO_LANGUAGE))
+    excess = (F.col("bits") - PLAIN) * F.octet_length("text")
+    stay = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (excess < BEYOND))
     return stay.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
