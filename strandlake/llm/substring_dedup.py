@@ -1,6 +1,6 @@
 """Repeated passages across documents: exact runs by hashed windows, fuzzy ones by collinear chaining of shared seeds.
 
-Winnowed word k-mers are the seeds. Each seed that several documents hold is matched with its first holder only
+Winnowed word k-mers are the seeds. Each seed that several documents hold is first matched with its first holder only
 (smallest id), so a seed of any number of holders gives as many matches as holders. The matches of a pair of
 documents are chained in order with linear gap costs by a Fenwick tree of prefix maxima; the words of the chained spans,
 cut from both documents in small blocks, are then aligned: along the diagonal of each anchor, through an edit
@@ -9,8 +9,14 @@ words and an identity of at least ``IDENTITY`` are reported, each with the earli
 
 The first holders of the seeds of a passage may each hold a piece of it only. So every run of ``MIN_WORDS`` words that
 several documents hold is also matched with the first holder of the run itself, whatever else holds its seeds: no word of an
-exact repeat of ``MIN_WORDS`` is left out. Runs inside a passage found by chaining are not reported again. A repeat with
-edits in every run of that length is found by chaining only, with the first holders of its seeds.
+exact repeat of ``MIN_WORDS`` is left out, and every document with the run is linked with the run's first holder, unless a passage of
+the same two documents has it already.
+
+Repeats with edits in every such run are found by links: two shared seeds that can follow each other in a chain. Documents with a common
+chain have a common link. Where a shared seed of a document is in no passage yet, the links around it are matched with their first holder, and
+those still open then with all earlier holders, by all seeds that the two documents share. So no seed is left out because the first document
+with it has only a piece of the passage. Links of more than ``OFTEN`` holders (lines of fewer than ``MIN_WORDS`` words that very many documents hold) are
+asked for together with the end of the passage or a third seed. Copies of a passage are linked with an earlier holder each, not all with all.
 
 Defined cases: null, empty and short texts have no passages; very long texts are read whole; rows with equal ids are one document (callers
 whose rows are documents of their own number them first); exact copies repeat their first document as a whole; of several places of a run in
@@ -30,10 +36,12 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import seen_twice
 from strandlake.llm import textvec as tv
-from strandlake.runtime import bounded_batches, cut, giving_back, hinted, hot_keys, rows_with
+from strandlake.runtime import bounded_batches, cut, drop, giving_back, hinted, hot_keys, rows_with
 
 #: Words of a seed, seeds in a winnowing window, least words and identity of a passage, widest gap in a chain, words of a block.
 K, WINDOW, MIN_WORDS, IDENTITY, MAX_GAP, PIECE = 5, 16, 50, 0.8, 40, 128
+#: Holders of a link up to which all are compared because of the link alone.
+OFTEN = 100
 #: Words within which an equal seed counts as a periodic stretch going on.
 REPEAT = 64
 #: Gap cost of a word, score of a match and a mismatch in extensions, and the drop at which they end.
@@ -413,23 +421,205 @@ def _needed(runs: DataFrame) -> DataFrame:
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """``doc_id, source_id, start_word, end_word, source_start, source_end, identity``: passages that an earlier document has."""
+    """``doc_id, source_id, start_word, end_word, source_start, source_end, identity, n_words``: passages that an earlier document has."""
     bounded_batches(docs.sparkSession)
     base = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    fuzzy = cut(_fuzzy(base))
-    held = fuzzy.select(F.col("doc_id").alias("id"), F.col("start_word").alias("lo"), F.col("end_word").alias("hi"))
-    runs = exact_runs(base)
-    runs = runs.join(held, (runs.doc_id == held.id) & (held.lo <= runs.start_word) & (held.hi >= runs.end_word), "left_anti")
-    every = fuzzy.union(_needed(runs).withColumn("identity", F.lit(1.0)))
-    return every.select("*", (F.col("end_word") - F.col("start_word")).cast("bigint").alias("n_words"))
+    shared = cut(_shared_seeds(base))
+    matches = shared.where("doc <> src").select("doc", "src", F.col("at").alias("b"), F.col("first").alias("a"))
+    found = cut(_fuzzy(base, matches))
+    found = cut(found.union(_needed(_beyond(exact_runs(base), found)).withColumn("identity", F.lit(1.0))))
+    tried = None
+    for pairs in (_first_of_links, _all_of_links):  # what the first holders of links cover is not asked of the others
+        links = cut(_links(shared, found))
+        asked = pairs(base, links)
+        asked = cut(asked if tried is None else asked.join(tried, ["doc", "src"], "left_anti"))
+        tried = asked
+        if not asked.isEmpty():
+            found = cut(found.union(_beyond(_fuzzy(base, _matches_of(shared, asked)), found)))
+        drop(links)
+    return found.select("*", (F.col("end_word") - F.col("start_word")).cast("bigint").alias("n_words"))
+
+
+def _beyond(more: DataFrame, found: DataFrame) -> DataFrame:
+    """Passages that no found one of the same two documents holds. One of another source does not stand for them: each pair is a link of its own."""
+    held = found.select(F.col("doc_id").alias("id"), F.col("source_id").alias("of"), F.col("start_word").alias("lo"), F.col("end_word").alias("hi"))
+    return more.join(held, (more.doc_id == held.id) & (more.source_id == held.of) & (held.lo <= more.start_word) & (held.hi >= more.end_word), "left_anti")
+
+
+def _shared_seeds(base: DataFrame) -> DataFrame:
+    """``doc, at, seed, src, first``: every place of the seeds that several documents hold, with the first holder and its first place."""
+    seeds = _seed_rows(base)
+    shared = seeds.where("fresh").groupBy("seed").agg(F.min("doc").alias("src"), F.max("doc").alias("last"), F.min_by("at", "doc").alias("first"))
+    return seeds.select("doc", "at", "seed").join(shared.where("src <> last").drop("last"), "seed").select("doc", "at", "seed", "src", "first")
 
 
-def _fuzzy(base: DataFrame) -> DataFrame:
-    """``doc_id, source_id, start_word, end_word, source_start, source_end, identity``: passages along the seeds that an earlier document has first."""
-    seeds = _seed_rows(base)
-    shared = seeds.where("fresh").groupBy("seed").agg(F.min("doc").alias("src"), F.max("doc").alias("last"), F.min_by("at", "doc").alias("a"))
-    shared = shared.where("src <> last").select("seed", "src", "a")
-    matches = seeds.select("seed", "doc", "at").join(shared, "seed").where("doc <> src").select("doc", "src", F.col("at").alias("b"), "a")
+def _following(place: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Seeds and by how many seeds another one comes after them, within ``MAX_GAP`` words."""
+    for k in range(1, MAX_GAP + 1):
+        near = np.flatnonzero(place[k:] - place[:-k] <= MAX_GAP)
+        if not len(near):
+            return
+        yield near, k
+
+
+def _joint(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hashes of pairs in order."""
+    return (tv.mix(tv.mix(x) * np.uint64(BASE) + y)).view(np.int64)
+
+
+def _links(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """``key, doc, open``: pairs of shared seeds that can follow each other in a chain; in open ones, or between their seeds, a shared seed is outside the passages found so far.
+
+    A chain has two seeds at least, in both documents in order and within ``MAX_GAP``, so documents without a common link have no common chain.
+    """
+    spans = found.select(F.col("doc_id").alias("doc"), F.lit(0).alias("kind"), F.col("start_word").alias("at"), F.col("end_word").cast("bigint").alias("seed"))
+    rows = shared.select("doc", F.lit(1).alias("kind"), "at", "seed").union(spans)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 1):
+            doc, kind, at, seed = (t.column(c).to_numpy() for c in ("doc", "kind", "at", "seed"))
+            base = np.cumsum(np.concatenate(([0], doc[1:] != doc[:-1]))) << 32  # places of all documents along one line
+            span = kind == 0
+            lo, hi = (base + at)[span], np.maximum.accumulate((base + seed)[span])
+            begin = np.flatnonzero(np.concatenate(([True], lo[1:] > hi[:-1]))) if len(lo) else np.zeros(0, int)
+            lo, hi = lo[begin], hi[np.concatenate((begin[1:] - 1, [len(hi) - 1]))] if len(lo) else hi
+            doc, place, h = doc[~span], (base + at)[~span], seed[~span].view(np.uint64)
+            i = np.searchsorted(lo, place, "right") - 1
+            free = (i < 0) | (place + K > hi[i]) if len(lo) else np.ones(len(place), bool)
+            freed = np.concatenate(([0], np.cumsum(free)))
+            keys, who, open_ = [], [], []
+            for near, k in _following(place):
+                keys.append(_joint(h[near], h[near + k]))
+                who.append(doc[near])
+                open_.append(freed[near + k + 1] > freed[near])
+            if keys:
+                key, own, is_open = np.concatenate(keys), np.concatenate(who), np.concatenate(open_)
+                order = np.lexsort((~is_open, key, own))
+                key, own, is_open = key[order], own[order], is_open[order]
+                one = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
+                yield pa.RecordBatch.from_arrays([pa.array(key[one]), pa.array(own[one]), pa.array(is_open[one])], names=["key", "doc", "open"])
+
+    return rows.repartition("doc").sortWithinPartitions("doc", "kind", "at").mapInArrow(giving_back(run), "key bigint, doc bigint, open boolean")
+
+
+def _first_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc, src``: documents and the first holders of their open links."""
+    first = links.groupBy("key").agg(F.min("doc").alias("src"), F.max(F.when(F.col("open"), F.col("doc"))).alias("last")).where("last > src")
+    return links.where("open").join(first.select("key", "src"), "key").where("doc > src").select("doc", "src").distinct()
+
+
+def _all_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc, src``: documents and all earlier holders of their open links, of links with more than ``OFTEN`` holders those that may have a passage along it."""
+    holders = links.groupBy("key").agg(F.min("doc").alias("least"), F.max(F.when(F.col("open"), F.col("doc"))).alias("last"), F.count("*").alias("n")).where("last > least")
+    of = cut(links.join(holders.drop("least"), "key"))
+    few = of.where(F.col("n") <= OFTEN).withColumnRenamed("open", "asks")
+    asked = _askers(few, few)
+    often = of.where(F.col("n") > OFTEN)
+    if often.isEmpty():
+        return asked
+    keys = often.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("key").alias("keys"), F.collect_list("open").alias("open"))
+    around = cut(_around(base.join(hinted(keys), "doc_id")))
+    last = around.groupBy("key").agg(F.min("doc").alias("least"), F.max(F.when(F.col("asks"), F.col("doc"))).alias("last"), F.count("*").alias("n")).where("last > least")
+    of = cut(around.join(last.drop("least"), "key"))
+    one, three = of.where("nth >= 0"), of.where("nth < 0")
+    return asked.union(_askers(_cheapest(one), one)).union(_askers(three.where("long"), three)).union(_askers(three.where("not long"), three.where("long"))).distinct()
+
+
+def _askers(mine: DataFrame, of: DataFrame) -> DataFrame:
+    """``doc, src``: documents that ask for a key, with its earlier holders."""
+    held = of.where("doc < last").select("key", F.col("doc").alias("src"))
+    return mine.where("asks").select("key", "doc").join(held, "key").where("doc > src").select("doc", "src").distinct()
+
+
+def _around(docs: DataFrame) -> DataFrame:
+    """``key, doc, asks, long, nth, side, far, missing``: links that very many documents hold, with what else two of them share if a passage runs along it.
+
+    A chain within ``MAX_GAP`` is one link from its first to its last seed. Its passage goes on without gaps on both sides together for
+    all that is ``missing`` of ``MIN_WORDS``, and such an extension ends in three equal words, seeds included: the link, the place of
+    its end and these three words are the key. A longer chain has two links that follow each other and together are longer: their three seeds are the key.
+    """
+
+    schema = "key bigint, doc bigint, asks boolean, long boolean, nth int, side int, far int, missing int"
+
+    def rows(doc: int, key: np.ndarray, asks: np.ndarray, long: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
+        cols = [pa.array(key), pa.array(np.full(len(key), doc)), pa.array(asks), pa.array(long), *[pa.array(c.astype(np.int32)) for c in more]]
+        return pa.RecordBatch.from_arrays(cols, names=["key", "doc", "asks", "long", "nth", "side", "far", "missing"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, off = tv.string_bytes(b.column("text"))
+            ids, many, is_open = b.column("doc_id").to_numpy(), b.column("keys"), b.column("open")
+            for r in range(b.num_rows):
+                low, o = tv.LOWER[data[off[r] : off[r + 1]]], np.array([0, off[r + 1] - off[r]])
+                starts, ends, _ = tv.word_spans(low, o, tv.SPACE)
+                words = tv.word_hashes(low, starts, ends)
+                h, at = winnow(words)
+                sought = np.array(many[r].as_py(), np.int64)
+                order = np.argsort(sought)
+                sought, free = sought[order], np.array(is_open[r].as_py(), bool)[order]
+                first, second, asks, link = [], [], [], []
+                for near, k in _following(at):
+                    key = _joint(h[near], h[near + k])
+                    n = np.minimum(np.searchsorted(sought, key), len(sought) - 1)
+                    hit = sought[n] == key
+                    first.append(near[hit])
+                    second.append(near[hit] + k)
+                    asks.append(free[n[hit]])
+                    link.append(key[hit])
+                x, y, ask, key = (np.concatenate(c) for c in (first, second, asks, link))
+                three = tv.shingle_hashes(words, 3)
+                missing = MIN_WORDS - (at[y] + K - at[x])
+                far = np.arange(1, MARGIN + PIECE + 1)
+                for side, place in ((0, (at[y] + K - 3)[:, None] + far), (1, at[x][:, None] - far)):
+                    i, n = np.nonzero((place >= 0) & (place < len(three)))
+                    ends_in = _joint(key[i].view(np.uint64) + (2 * far[n] + side).astype(np.uint64), three[place[i, n]])
+                    yield rows(ids[r], ends_in, ask[i], np.ones(len(i), bool), i, np.full(len(i), side), far[n], missing[i])
+                by = np.argsort(x, kind="stable")
+                lo, hi = np.searchsorted(x[by], y, "left"), np.searchsorted(x[by], y, "right")
+                i = np.repeat(np.arange(len(x)), hi - lo)
+                j = by[np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)]
+                both, asking, long = _joint(key[i].view(np.uint64), h[y[j]]), ask[i] | ask[j], at[y[j]] - at[x[i]] > MAX_GAP
+                one = np.unique(np.stack((both, asking, long)), axis=1)
+                none = np.zeros(one.shape[1], int)
+                yield rows(ids[r], one[0], one[1] > 0, one[2] > 0, none - 1, none, none, none)
+
+    return docs.mapInArrow(giving_back(run), schema)
+
+
+def _cheapest(ends: DataFrame) -> DataFrame:
+    """``key, doc, asks``: of the ends of extensions those to ask for, one way for each link of a document.
+
+    Extensions that make up for ``missing`` words have ``p`` words on the right or more than ``missing - p`` on the left, whatever ``p``; taken is
+    the one whose keys have fewest holders. Words that go on alike in all documents with the link are fewer than ``missing``, else they are a passage.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 2):
+            doc, nth, key, side, far, missing, n = (t.column(c).to_numpy() for c in ("doc", "nth", "key", "side", "far", "missing", "n"))
+            edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (nth[1:] != nth[:-1]), [True])))
+            keep = np.zeros(len(doc), bool)
+            for i, j in zip(edge[:-1], edge[1:], strict=True):
+                cost = np.zeros((2, MARGIN + PIECE + 2))
+                np.add.at(cost, (side[i:j], far[i:j]), n[i:j])
+                right, left = cost[:, ::-1].cumsum(1)[:, ::-1]
+                p = int((right[1 : missing[i] + 1] + left[missing[i] : 0 : -1]).argmin()) + 1
+                keep[i:j] = np.where(side[i:j] == 0, far[i:j] >= p, far[i:j] > missing[i] - p)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(doc[keep]), pa.array(np.ones(int(keep.sum()), bool))], names=["key", "doc", "asks"])
+
+    sorted_ = ends.where("asks").select("doc", "nth", "key", "side", "far", "missing", "n").repartition("doc", "nth").sortWithinPartitions("doc", "nth")
+    return sorted_.mapInArrow(giving_back(run), "key bigint, doc bigint, asks boolean")
+
+
+def _matches_of(shared: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc, src, b, a``: all places of the seeds that the two documents of a pair share."""
+    of = shared.select("doc", "at", "seed")
+    mine = pairs.join(of.withColumnRenamed("at", "b"), "doc")
+    return mine.join(of.select(F.col("doc").alias("src"), "seed", F.col("at").alias("a")), ["src", "seed"]).select("doc", "src", "b", "a")
+
+
+def _fuzzy(base: DataFrame, matches: DataFrame) -> DataFrame:
+    """``doc_id, source_id, start_word, end_word, source_start, source_end, identity``: passages along the matches ``doc, src, b, a``."""
     chains = cut(_chain_rows(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "b", "a")))
     span = lambda c: F.sequence(
         F.floor(F.greatest(F.lit(0), F.array_min(c) - MARGIN) / PIECE).cast("int"), F.floor((F.array_max(c) + K + MARGIN) / PIECE).cast("int")

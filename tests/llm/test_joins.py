@@ -217,6 +217,25 @@ def test_passages_whose_pieces_are_held_earlier(spark):
     assert left[4] == [w.upper() for w in rows[4][:15] + rows[4][75:]] and left[3] == rows[3]
 
 
+def test_passages_with_edits_whose_pieces_are_held_earlier(spark, monkeypatch):
+    """Passages with edits in every run of 50 words, of which earlier documents hold pieces or other versions: no link of an earlier document is lost,
+    whether links of seeds are rare or so frequent that they are asked for with their surroundings."""
+    r = random.Random(5)
+    text = lambda k: [f"w{r.randrange(50000)}" for _ in range(k)]
+    line, rows, want = text(24), [], set()
+    for _ in range(6):
+        p, q, i = text(60), text(70), len(rows)
+        rows += [text(20) + p[:30] + text(20), text(20) + p[30:] + text(20), text(10) + p + text(10), text(15) + p[:30] + ["edit"] + p[31:] + text(15)]
+        rows += [text(5) + q[:35] + ["other"] + q[36:], q + text(9), text(7) + q + text(7), text(30) + line + text(30)]
+        want |= {(i + 3, i + 2, 58), (i + 5, i + 4, 65), (i + 6, i + 4, 65), (i + 6, i + 5, 70)}
+    docs = frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(rows)])
+    found = sorted(map(tuple, substring_dedup.passages(docs).collect()))
+    most = {pair: max(x[-1] for x in found if x[:2] == pair) for pair in {x[:2] for x in found}}
+    assert set(most) == {x[:2] for x in want} and all(most[d, s] >= n for d, s, n in want)
+    monkeypatch.setattr(substring_dedup, "OFTEN", 1)
+    assert sorted(map(tuple, substring_dedup.passages(docs).collect())) == found
+
+
 def test_chaining_is_best():
     """The Fenwick tree's chains against the quadratic recurrence."""
     r = random.Random(9)
