@@ -8,6 +8,7 @@ emits only keys that may recur. When the corpus outgrows the bitmap it lets more
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 #: Words of 64 bits in the bitmap (a power of two): 16 MB.
 WORDS = 1 << 21
 _SHIFTS = (0, 29)
+#: Packed keys that meet in one group, about.
+PACKED = 500_000
 
 
 def recurring(keys: DataFrame, key: str) -> Broadcast:
@@ -40,3 +43,47 @@ def may_recur(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
         bit = (k >> np.uint64(s)) & np.uint64((1 << 27) - 1)
         ok &= ((bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
     return ok
+
+
+def _spots(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(37)).astype(np.int64)
+
+
+def packed(asked: np.ndarray, others: np.ndarray, parts: int) -> pa.RecordBatch:
+    """``part, asked, others``: keys that someone asks for and keys only held, packed by the part of the bitmap (a power of two of them) they fall in."""
+    cols = []
+    for keys in (asked, others):
+        part = _spots(keys) // (64 * WORDS // parts)
+        keys = keys[np.argsort(part, kind="stable")]
+        edge = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
+        cols.append([keys[i:j].tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)])
+    full = [p for p in range(parts) if cols[0][p] or cols[1][p]]
+    arrays = [pa.array(full, pa.int32()), *[pa.array([c[p] for p in full], pa.binary()) for c in cols]]
+    return pa.RecordBatch.from_arrays(arrays, names=["part", "asked", "others"])
+
+
+def bits_of(t: pa.Table, each: int) -> pa.Table:
+    """``part, bits``: a part of the bitmap of ``asked``, of ``each`` words, from all its rows of ``packed``."""
+    own = np.frombuffer(b"".join(t.column("asked").to_pylist()), np.int64)
+    every, times = np.unique(np.concatenate((own, np.frombuffer(b"".join(t.column("others").to_pylist()), np.int64))), return_counts=True)
+    spots = _spots(np.intersect1d(every[times > 1], own))
+    bits = np.zeros(each, np.uint64)
+    part = t.column("part")[0].as_py()
+    np.bitwise_or.at(bits, (spots >> 6) - part * each, np.uint64(1) << (spots & 63).astype(np.uint64))
+    return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+
+def asked(packs: DataFrame, parts: int) -> Broadcast:
+    """The bitmap of the keys that are asked for and occur twice or more, made of rows of ``packed``; each holder gives a key once."""
+    each = WORDS // parts
+    found = packs.groupBy("part").applyInArrow(lambda t: bits_of(t, each), "part int, bits binary").toArrow()
+    bitmap = np.zeros(WORDS, np.uint64)
+    for part, bits in zip(found.column("part").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        bitmap[part * each : (part + 1) * each] = np.frombuffer(bits, np.uint64)
+    return packs.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def may_be_asked(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """For each key whether it may be in a bitmap of ``asked``; never false for one that is."""
+    at = _spots(keys)
+    return ((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import seen_twice
 from strandlake.llm import textvec as tv
-from strandlake.runtime import bounded_batches, cut, drop, giving_back, hinted, hot_keys, rows_with
+from strandlake.runtime import bounded_batches, cut, drop, giving_back, hinted, hot_keys, rows_with, together
 
 #: Words of a seed, seeds in a winnowing window, least words and identity of a passage, widest gap in a chain, words of a block.
 K, WINDOW, MIN_WORDS, IDENTITY, MAX_GAP, PIECE = 5, 16, 50, 0.8, 40, 128
@@ -386,7 +386,7 @@ def exact_runs(docs: DataFrame) -> DataFrame:
             if other.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (doc, src, at, a)], names=["doc", "src", "b", "a"])
 
-    found = docs.mapInArrow(giving_back(windows), "run bigint, doc bigint, at int").repartition("run").sortWithinPartitions("run", "doc", "at")
+    found = together(docs.mapInArrow(giving_back(windows), "run bigint, doc bigint, at int"), "run").sortWithinPartitions("run", "doc", "at")
     found = found.mapInArrow(giving_back(with_first), "doc bigint, src bigint, b int, a int").withColumn("off", F.col("b") - F.col("a"))
     nth = F.dense_rank().over(W.partitionBy("doc", "src", "off").orderBy("b"))
     runs = found.withColumn("stretch", F.col("b") - nth).groupBy("doc", "src", "off", "stretch").agg(F.min("b").alias("b0"), F.max("b").alias("b1"))
@@ -417,7 +417,7 @@ def _needed(runs: DataFrame) -> DataFrame:
             keep += [best] if best >= 0 else []
             yield from t.take(pa.array(keep, pa.int64())).combine_chunks().to_batches()
 
-    return runs.repartition("doc_id", "source_id").sortWithinPartitions("doc_id", "source_id", "start_word", F.desc("end_word")).mapInArrow(giving_back(run), runs.schema)
+    return together(runs, "doc_id", "source_id").sortWithinPartitions("doc_id", "source_id", "start_word", F.desc("end_word")).mapInArrow(giving_back(run), runs.schema)
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -499,7 +499,7 @@ def _links(shared: DataFrame, found: DataFrame) -> DataFrame:
                 one = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
                 yield pa.RecordBatch.from_arrays([pa.array(key[one]), pa.array(own[one]), pa.array(is_open[one])], names=["key", "doc", "open"])
 
-    return rows.repartition("doc").sortWithinPartitions("doc", "kind", "at").mapInArrow(giving_back(run), "key bigint, doc bigint, open boolean")
+    return together(rows, "doc").sortWithinPartitions("doc", "kind", "at").mapInArrow(giving_back(run), "key bigint, doc bigint, open boolean")
 
 
 def _first_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
@@ -518,7 +518,7 @@ def _all_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
     if often.isEmpty():
         return asked
     keys = often.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("key").alias("keys"), F.collect_list("open").alias("open"))
-    around = cut(_around(base.join(hinted(keys), "doc_id")))
+    around = cut(_around(base.join(hinted(keys), "doc_id"), often.count()))
     last = around.groupBy("key").agg(F.min("doc").alias("least"), F.max(F.when(F.col("asks"), F.col("doc"))).alias("last"), F.count("*").alias("n")).where("last > least")
     of = cut(around.join(last.drop("least"), "key"))
     one, three = of.where("nth >= 0"), of.where("nth < 0")
@@ -531,58 +531,88 @@ def _askers(mine: DataFrame, of: DataFrame) -> DataFrame:
     return mine.where("asks").select("key", "doc").join(held, "key").where("doc > src").select("doc", "src").distinct()
 
 
-def _around(docs: DataFrame) -> DataFrame:
-    """``key, doc, asks, long, nth, side, far, missing``: links that very many documents hold, with what else two of them share if a passage runs along it.
+def _ends(b: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """For each document with links that very many hold ``doc`` and ``key, asks, long, nth, side, far, missing``: what else two of them share if a passage runs along it.
 
     A chain within ``MAX_GAP`` is one link from its first to its last seed. Its passage goes on without gaps on both sides together for
     all that is ``missing`` of ``MIN_WORDS``, and such an extension ends in three equal words, seeds included: the link, the place of
     its end and these three words are the key. A longer chain has two links that follow each other and together are longer: their three seeds are the key.
     """
+    data, off = tv.string_bytes(b.column("text"))
+    ids, many, is_open = b.column("doc_id").to_numpy(), b.column("keys"), b.column("open")
+    for r in range(b.num_rows):
+        low, o = tv.LOWER[data[off[r] : off[r + 1]]], np.array([0, off[r + 1] - off[r]])
+        starts, ends, _ = tv.word_spans(low, o, tv.SPACE)
+        words = tv.word_hashes(low, starts, ends)
+        h, at = winnow(words)
+        sought = np.array(many[r].as_py(), np.int64)
+        order = np.argsort(sought)
+        sought, free = sought[order], np.array(is_open[r].as_py(), bool)[order]
+        first, second, asks, link = [], [], [], []
+        for near, k in _following(at):
+            key = _joint(h[near], h[near + k])
+            n = np.minimum(np.searchsorted(sought, key), len(sought) - 1)
+            hit = sought[n] == key
+            first.append(near[hit])
+            second.append(near[hit] + k)
+            asks.append(free[n[hit]])
+            link.append(key[hit])
+        x, y, ask, key = (np.concatenate(c) for c in (first, second, asks, link))
+        three = tv.shingle_hashes(words, 3)
+        missing = MIN_WORDS - (at[y] + K - at[x])
+        far = np.arange(1, MARGIN + PIECE + 1)
+        for side, place in ((0, (at[y] + K - 3)[:, None] + far), (1, at[x][:, None] - far)):
+            i, n = np.nonzero((place >= 0) & (place < len(three)))
+            ends_in = _joint(key[i].view(np.uint64) + (2 * far[n] + side).astype(np.uint64), three[place[i, n]])
+            yield ids[r], [ends_in, ask[i], np.ones(len(i), bool), i, np.full(len(i), side), far[n], missing[i]]
+        by = np.argsort(x, kind="stable")
+        lo, hi = np.searchsorted(x[by], y, "left"), np.searchsorted(x[by], y, "right")
+        i = np.repeat(np.arange(len(x)), hi - lo)
+        j = by[np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)]
+        both, asking, long = _joint(key[i].view(np.uint64), h[y[j]]), ask[i] | ask[j], at[y[j]] - at[x[i]] > MAX_GAP
+        one = np.unique(np.stack((both, asking, long)), axis=1)
+        none = np.zeros(one.shape[1], int)
+        yield ids[r], [one[0], one[1] > 0, one[2] > 0, none - 1, none, none, none]
+
+
+def _around(docs: DataFrame, links: int) -> DataFrame:
+    """``key, doc, asks, long, nth, side, far, missing``: the ends of ``links`` links (see ``_ends``) that a document asks for and another one has too.
+
+    Hardly any of them is shared. So their keys alone, packed, first set a bitmap of those that are, and only these become rows.
+    """
+    parts = 8
+    while parts < 4096 and parts * seen_twice.PACKED < 2 * links * (MARGIN + PIECE):
+        parts *= 2
 
-    schema = "key bigint, doc bigint, asks boolean, long boolean, nth int, side int, far int, missing int"
-
-    def rows(doc: int, key: np.ndarray, asks: np.ndarray, long: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
-        cols = [pa.array(key), pa.array(np.full(len(key), doc)), pa.array(asks), pa.array(long), *[pa.array(c.astype(np.int32)) for c in more]]
-        return pa.RecordBatch.from_arrays(cols, names=["key", "doc", "asks", "long", "nth", "side", "far", "missing"])
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, others, n = [], [], 0
+        for b in batches:
+            own: dict[int, list] = {}
+            for doc, (key, asks, *_) in _ends(b):
+                own.setdefault(doc, []).append((key, asks))
+            for ends in own.values():
+                key, asks = (np.concatenate(c) for c in zip(*ends, strict=True))
+                asked.append(np.unique(key[asks]))
+                others.append(np.setdiff1d(key[~asks], asked[-1]))
+                n += len(asked[-1]) + len(others[-1])
+                if n >= seen_twice.PACKED:
+                    yield seen_twice.packed(np.concatenate(asked), np.concatenate(others), parts)
+                    asked, others, n = [], [], 0
+        if n:
+            yield seen_twice.packed(np.concatenate(asked), np.concatenate(others), parts)
+
+    bitmap = seen_twice.asked(docs.mapInArrow(giving_back(keys), "part int, asked binary, others binary"), parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "doc", "asks", "long", "nth", "side", "far", "missing"]
         for b in batches:
-            data, off = tv.string_bytes(b.column("text"))
-            ids, many, is_open = b.column("doc_id").to_numpy(), b.column("keys"), b.column("open")
-            for r in range(b.num_rows):
-                low, o = tv.LOWER[data[off[r] : off[r + 1]]], np.array([0, off[r + 1] - off[r]])
-                starts, ends, _ = tv.word_spans(low, o, tv.SPACE)
-                words = tv.word_hashes(low, starts, ends)
-                h, at = winnow(words)
-                sought = np.array(many[r].as_py(), np.int64)
-                order = np.argsort(sought)
-                sought, free = sought[order], np.array(is_open[r].as_py(), bool)[order]
-                first, second, asks, link = [], [], [], []
-                for near, k in _following(at):
-                    key = _joint(h[near], h[near + k])
-                    n = np.minimum(np.searchsorted(sought, key), len(sought) - 1)
-                    hit = sought[n] == key
-                    first.append(near[hit])
-                    second.append(near[hit] + k)
-                    asks.append(free[n[hit]])
-                    link.append(key[hit])
-                x, y, ask, key = (np.concatenate(c) for c in (first, second, asks, link))
-                three = tv.shingle_hashes(words, 3)
-                missing = MIN_WORDS - (at[y] + K - at[x])
-                far = np.arange(1, MARGIN + PIECE + 1)
-                for side, place in ((0, (at[y] + K - 3)[:, None] + far), (1, at[x][:, None] - far)):
-                    i, n = np.nonzero((place >= 0) & (place < len(three)))
-                    ends_in = _joint(key[i].view(np.uint64) + (2 * far[n] + side).astype(np.uint64), three[place[i, n]])
-                    yield rows(ids[r], ends_in, ask[i], np.ones(len(i), bool), i, np.full(len(i), side), far[n], missing[i])
-                by = np.argsort(x, kind="stable")
-                lo, hi = np.searchsorted(x[by], y, "left"), np.searchsorted(x[by], y, "right")
-                i = np.repeat(np.arange(len(x)), hi - lo)
-                j = by[np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)]
-                both, asking, long = _joint(key[i].view(np.uint64), h[y[j]]), ask[i] | ask[j], at[y[j]] - at[x[i]] > MAX_GAP
-                one = np.unique(np.stack((both, asking, long)), axis=1)
-                none = np.zeros(one.shape[1], int)
-                yield rows(ids[r], one[0], one[1] > 0, one[2] > 0, none - 1, none, none, none)
+            for doc, (key, asks, long, *more) in _ends(b):
+                may = seen_twice.may_be_asked(bitmap.value, key)
+                if may.any():
+                    cols = [pa.array(key[may]), pa.array(np.full(int(may.sum()), doc)), pa.array(asks[may]), pa.array(long[may]), *[pa.array(c[may].astype(np.int32)) for c in more]]
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
 
+    schema = "key bigint, doc bigint, asks boolean, long boolean, nth int, side int, far int, missing int"
     return docs.mapInArrow(giving_back(run), schema)
 
 
@@ -607,8 +637,8 @@ def _cheapest(ends: DataFrame) -> DataFrame:
             if keep.any():
                 yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(doc[keep]), pa.array(np.ones(int(keep.sum()), bool))], names=["key", "doc", "asks"])
 
-    sorted_ = ends.where("asks").select("doc", "nth", "key", "side", "far", "missing", "n").repartition("doc", "nth").sortWithinPartitions("doc", "nth")
-    return sorted_.mapInArrow(giving_back(run), "key bigint, doc bigint, asks boolean")
+    asked = ends.where("asks").select("doc", "nth", "key", "side", "far", "missing", "n")
+    return together(asked, "doc", "nth").sortWithinPartitions("doc", "nth").mapInArrow(giving_back(run), "key bigint, doc bigint, asks boolean")
 
 
 def _matches_of(shared: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -620,7 +650,7 @@ def _matches_of(shared: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _fuzzy(base: DataFrame, matches: DataFrame) -> DataFrame:
     """``doc_id, source_id, start_word, end_word, source_start, source_end, identity``: passages along the matches ``doc, src, b, a``."""
-    chains = cut(_chain_rows(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "b", "a")))
+    chains = cut(_chain_rows(together(matches, "doc", "src").sortWithinPartitions("doc", "src", "b", "a")))
     span = lambda c: F.sequence(
         F.floor(F.greatest(F.lit(0), F.array_min(c) - MARGIN) / PIECE).cast("int"), F.floor((F.array_max(c) + K + MARGIN) / PIECE).cast("int")
     )
@@ -638,7 +668,7 @@ def _fuzzy(base: DataFrame, matches: DataFrame) -> DataFrame:
         parts = parts.unionByName(wanted.where(often).join(few, ["id", "piece"]))
     parts = parts.select("doc", "src", "no", "side", "piece", "words")
     parts = parts.join(chains, ["doc", "src", "no"]).select("doc", "src", "no", "side", "piece", "words", "a", "b")
-    parts = parts.repartition("doc", "src", "no").sortWithinPartitions("doc", "src", "no", "side", "piece")
+    parts = together(parts, "doc", "src", "no").sortWithinPartitions("doc", "src", "no", "side", "piece")
     return _aligned(parts)
 
 

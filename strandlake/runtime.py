@@ -122,6 +122,15 @@ def joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "i
     return out
 
 
+def together(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows with equal ``keys`` in one partition, also above a join on the same keys.
+
+    Spark leaves out a ``repartition`` by the keys that its child is partitioned by already, and may then split a skewed partition of that
+    join, as it sees no need of a Python function above. A hash of the keys is a partitioning that no child has.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
 def ship(spark: SparkSession) -> None:
     """Give Python workers this package where they would not find it: a session started outside the repository."""
     root = Path(__file__).resolve().parents[1]

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from strandlake import runtime
@@ -236,6 +238,46 @@ def test_passages_with_edits_whose_pieces_are_held_earlier(spark, monkeypatch):
     assert sorted(map(tuple, substring_dedup.passages(docs).collect())) == found
 
 
+def test_passages_where_joins_split_partitions(spark):
+    """Spark may split a large partition of a join; what is aligned together stays together."""
+    r = random.Random(23)
+    text = lambda k: [f"w{r.randrange(50000)}" for _ in range(k)]
+    rows = []
+    for _ in range(12):
+        p = text(700)
+        rows += [text(9) + p, text(40) + [w if i % 30 else "edit" for i, w in enumerate(p)] + text(20), text(90) + p[:350] + ["x", "y"] + p[350:]]
+    docs = frame(spark, [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(rows)]).repartition(8)
+    plain = sorted(map(tuple, substring_dedup.passages(docs).collect()))
+    split = {"skewJoin.skewedPartitionThresholdInBytes": "1", "skewJoin.skewedPartitionFactor": "0.1", "advisoryPartitionSizeInBytes": "1k", "coalescePartitions.enabled": "false", "autoBroadcastJoinThreshold": "-1"}
+    split = {f"spark.sql.adaptive.{k}": v for k, v in split.items()} | {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in split}
+    try:
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        assert sorted(map(tuple, substring_dedup.passages(docs).collect())) == plain and {x[0] for x in plain} == {i for i in range(36) if i % 3}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_keys_asked_for_and_held_by_another():
+    """Packed keys: the bitmap has all that are asked for and held twice, and hardly others."""
+    r = np.random.default_rng(4)
+    keys = r.integers(-(2**63), 2**63 - 1, 4000)
+    asked, held = [keys[:1000], keys[900:1100]], [keys[500:700], keys[1050:4000]]  # two documents
+    packs = pa.Table.from_batches([seen_twice.packed(a, h, 8) for a, h in zip(asked, held, strict=True)])
+    assert packs.num_rows == 16 and sum(len(x) for c in ("asked", "others") for x in packs.column(c).to_pylist()) == 8 * sum(map(len, asked + held))
+    bits = np.zeros(seen_twice.WORDS, np.uint64)
+    each = seen_twice.WORDS // 8
+    for part in range(8):
+        own = seen_twice.bits_of(packs.filter(pc.equal(packs.column("part"), part)), each)
+        bits[part * each : (part + 1) * each] = np.frombuffer(own.column("bits")[0].as_py(), np.uint64)
+    may = seen_twice.may_be_asked(bits, keys)
+    want = np.zeros(4000, bool)
+    want[500:700] = want[900:1000] = want[1050:1100] = True
+    assert may[want].all() and may.sum() <= want.sum() + 5
+
+
 def test_chaining_is_best():
     """The Fenwick tree's chains against the quadratic recurrence."""
     r = random.Random(9)
