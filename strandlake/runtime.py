@@ -148,9 +148,21 @@ def ship(spark: SparkSession) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of tables that are no longer referred to: its cleaner acts when the driver's JVM collects."""
+    """Let Spark drop the shuffle files of tables that are no longer referred to: its cleaner acts when the driver's JVM collects.
+
+    Plans and their tasks are garbage of the driver too; its Python side hands freed memory back.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Hand memory that this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim:
+        trim(0)
 
 
 #: Bytes and rows of an Arrow batch for a Python worker. Texts can be long; batches of this size bound what a worker, and Spark's buffers beside it, hold.
@@ -178,9 +190,6 @@ def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
-            if trim:
-                trim(0)
+            trim_memory()
 
     return whole

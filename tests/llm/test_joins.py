@@ -10,6 +10,7 @@ import pytest
 from strandlake import runtime
 from strandlake.llm import decontaminate, embedding_dups, jaccard_join, seen_twice, substring_dedup
 from strandlake.llm.queries import OP6_SQL
+from strandlake.operators import graph
 from tests.llm.helpers import FOLD, WORD, frame, jaccard_components, make_docs, odd
 
 
@@ -136,6 +137,16 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     assert {x[0]: x[3] for x in first}[7] == 2
 
 
+def test_components_release_every_round(spark, monkeypatch):
+    """Shuffle files of the rounds before are let go in each round, not when the driver happens to collect its garbage."""
+    rounds, released = [], []
+    monkeypatch.setattr(graph, "release", lambda session: released.append(session))
+    monkeypatch.setattr(graph, "drop", lambda *tables, drop=runtime.drop: (rounds.append(len(released)), drop(*tables)))
+    out = graph.connected_components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint"))
+    assert out.agg({"component": "max"}).first()[0] == 0
+    assert rounds[:-1] == list(range(len(released))) and len(released) > 3
+
+
 def test_passages(spark):
     r = random.Random(2)
     vocab = [f"w{i}" for i in range(5000)]
@@ -260,13 +271,14 @@ def test_passages_where_joins_split_partitions(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_keys_asked_for_and_held_by_another():
-    """Packed keys: the bitmap has all that are asked for and held twice, and hardly others."""
+def test_keys_asked_for_and_held_earlier():
+    """Packed keys: the bitmap has all that a document asks for and an earlier one holds, and hardly others."""
     r = np.random.default_rng(4)
     keys = r.integers(-(2**63), 2**63 - 1, 4000)
-    asked, held = [keys[:1000], keys[900:1100]], [keys[500:700], keys[1050:4000]]  # two documents
-    packs = pa.Table.from_batches([seen_twice.packed(a, h, 8) for a, h in zip(asked, held, strict=True)])
-    assert packs.num_rows == 16 and sum(len(x) for c in ("asked", "others") for x in packs.column(c).to_pylist()) == 8 * sum(map(len, asked + held))
+    packs = []
+    for doc, lo, hi, asks in ((7, 0, 1000, True), (3, 500, 700, False), (9, 900, 1100, False), (9, 1050, 2000, True), (9, 1050, 2000, True), (5, 1900, 4000, False)):
+        packs.append(seen_twice.packed(keys[lo:hi], np.full(hi - lo, doc), np.full(hi - lo, asks), 8))
+    packs = pa.Table.from_batches(packs)
     bits = np.zeros(seen_twice.WORDS, np.uint64)
     each = seen_twice.WORDS // 8
     for part in range(8):
@@ -274,7 +286,7 @@ def test_keys_asked_for_and_held_by_another():
         bits[part * each : (part + 1) * each] = np.frombuffer(own.column("bits")[0].as_py(), np.uint64)
     may = seen_twice.may_be_asked(bits, keys)
     want = np.zeros(4000, bool)
-    want[500:700] = want[900:1000] = want[1050:1100] = True
+    want[500:700] = want[1900:2000] = True
     assert may[want].all() and may.sum() <= want.sum() + 5
 
 
