@@ -49,24 +49,24 @@ def _spots(keys: np.ndarray) -> np.ndarray:
     return (keys.view(np.uint64) >> np.uint64(37)).astype(np.int64)
 
 
-def packed(asked: np.ndarray, others: np.ndarray, parts: int) -> pa.RecordBatch:
-    """``part, asked, others``: keys that someone asks for and keys only held, packed by the part of the bitmap (a power of two of them) they fall in."""
-    cols = []
-    for keys in (asked, others):
-        part = _spots(keys) // (64 * WORDS // parts)
-        keys = keys[np.argsort(part, kind="stable")]
-        edge = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
-        cols.append([keys[i:j].tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)])
-    full = [p for p in range(parts) if cols[0][p] or cols[1][p]]
-    arrays = [pa.array(full, pa.int32()), *[pa.array([c[p] for p in full], pa.binary()) for c in cols]]
-    return pa.RecordBatch.from_arrays(arrays, names=["part", "asked", "others"])
+def packed(key: np.ndarray, doc: np.ndarray, asks: np.ndarray, parts: int) -> pa.RecordBatch:
+    """``part, key, doc, asks``: keys, who holds them and whether they ask for others, packed by the part of the bitmap (a power of two of them) they fall in."""
+    part = _spots(key) // (64 * WORDS // parts)
+    order = np.argsort(part, kind="stable")
+    edge = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
+    full = np.flatnonzero(np.diff(edge))
+    cols = [pa.array([c[edge[p] : edge[p + 1]].tobytes() for p in full], pa.binary()) for c in (key[order], doc[order], asks[order])]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *cols], names=["part", "key", "doc", "asks"])
 
 
 def bits_of(t: pa.Table, each: int) -> pa.Table:
     """``part, bits``: a part of the bitmap of ``asked``, of ``each`` words, from all its rows of ``packed``."""
-    own = np.frombuffer(b"".join(t.column("asked").to_pylist()), np.int64)
-    every, times = np.unique(np.concatenate((own, np.frombuffer(b"".join(t.column("others").to_pylist()), np.int64))), return_counts=True)
-    spots = _spots(np.intersect1d(every[times > 1], own))
+    key, doc, asks = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind) for c, kind in (("key", np.int64), ("doc", np.int64), ("asks", bool)))
+    order = np.argsort(key, kind="stable")
+    key, doc, asks = key[order], doc[order], asks[order]
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    least, last = np.minimum.reduceat(doc, new), np.maximum.reduceat(np.where(asks, doc, np.iinfo(np.int64).min), new)
+    spots = _spots(key[new[last > least]])
     bits = np.zeros(each, np.uint64)
     part = t.column("part")[0].as_py()
     np.bitwise_or.at(bits, (spots >> 6) - part * each, np.uint64(1) << (spots & 63).astype(np.uint64))
@@ -74,7 +74,7 @@ def bits_of(t: pa.Table, each: int) -> pa.Table:
 
 
 def asked(packs: DataFrame, parts: int) -> Broadcast:
-    """The bitmap of the keys that are asked for and occur twice or more, made of rows of ``packed``; each holder gives a key once."""
+    """The bitmap of the keys that someone asks for and someone earlier (of a smaller id) holds, made of rows of ``packed``."""
     each = WORDS // parts
     found = packs.groupBy("part").applyInArrow(lambda t: bits_of(t, each), "part int, bits binary").toArrow()
     bitmap = np.zeros(WORDS, np.uint64)

@@ -30,13 +30,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandlake.llm import seen_twice
 from strandlake.llm import textvec as tv
-from strandlake.runtime import bounded_batches, cut, drop, giving_back, hinted, hot_keys, rows_with, together
+from strandlake.runtime import bounded_batches, cut, drop, giving_back, hinted, hot_keys, release, rows_with, together
 
 #: Words of a seed, seeds in a winnowing window, least words and identity of a passage, widest gap in a chain, words of a block.
 K, WINDOW, MIN_WORDS, IDENTITY, MAX_GAP, PIECE = 5, 16, 50, 0.8, 40, 128
@@ -77,18 +78,45 @@ def winnow(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[order], at[order]
 
 
-def _seed_rows(docs: DataFrame) -> DataFrame:
+def _words(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For blocks of rows: the first row, the hashes of all words, and where the words of each row begin."""
+    data, off = tv.string_bytes(b.column("text"))
+    for i, j in tv.blocks(off, 1 << 21):
+        low, o = tv.LOWER[data[off[i] : off[j]]], off[i : j + 1] - off[i]
+        starts, ends, first = tv.word_spans(low, o, tv.SPACE)
+        yield i, tv.word_hashes(low, starts, ends), first
+
+
+def _recurring_keys(docs: DataFrame) -> DataFrame:
+    """``key``: the seeds of every document and the marks of its runs; one that recurs in a block has two rows of it, for no more is asked than whether it recurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, words, first in _words(b):
+                own = [np.unique(winnow(words[first[r] : first[r + 1]])[0]) for r in np.flatnonzero(np.diff(first) >= MIN_WORDS)]
+                if not own:
+                    continue
+                row, at, mark = _marked(words, first)
+                mark = mark[np.concatenate(([True], (mark[1:] != mark[:-1]) | (row[1:] != row[:-1])))]
+                for keys in (np.concatenate(own), mark):
+                    u, n = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(u, np.minimum(n, 2)).view(np.int64))], names=["key"])
+
+    return docs.mapInArrow(giving_back(run), "key bigint")
+
+
+def _seed_rows(docs: DataFrame, bitmap: Broadcast) -> DataFrame:
+    """``seed, doc, at, fresh``: the seeds of every document that may be held by another one too; the first place of a seed in a document is fresh."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = tv.string_bytes(b.column("text"))
             ids = b.column("doc_id").to_numpy()
-            for i, j in tv.blocks(off, 1 << 21):
-                low, o = tv.LOWER[data[off[i] : off[j]]], off[i : j + 1] - off[i]
-                starts, ends, first = tv.word_spans(low, o, tv.SPACE)
-                words = tv.word_hashes(low, starts, ends)
+            for i, words, first in _words(b):
                 seeds, at, who, new = [], [], [], []
                 for r in np.flatnonzero(np.diff(first) >= MIN_WORDS):
                     h, p = winnow(words[first[r] : first[r + 1]])
+                    may = seen_twice.may_recur(bitmap.value, h)
+                    h, p = h[may], p[may]
                     fresh = np.zeros(len(h), bool)
                     fresh[np.unique(h, return_index=True)[1]] = True
                     seeds.append(h)
@@ -329,47 +357,30 @@ def _rolled(words: np.ndarray, k: int) -> np.ndarray:
     return tv.mix((sums[k:] - sums[:-k]) * np.cumprod(back)[: n - k + 1] + np.uint64(k))
 
 
-def _runs(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-    """For blocks of rows: row, place, hash and mark of every run of ``MIN_WORDS`` words inside a row."""
-    data, off = tv.string_bytes(b.column("text"))
-    for i, j in tv.blocks(off, 1 << 21):
-        low, o = tv.LOWER[data[off[i] : off[j]]], off[i : j + 1] - off[i]
-        starts, ends, first = tv.word_spans(low, o, tv.SPACE)
-        words = tv.word_hashes(low, starts, ends)
-        h = _rolled(words, MIN_WORDS)
-        row = np.repeat(np.arange(j - i), np.diff(first))[: len(h)]
-        at = np.arange(len(h))
-        inside = at + MIN_WORDS <= first[row + 1]
-        if not inside.any():
-            continue
-        marks = _rolled(words, MARK)
-        mark = marks[np.lib.stride_tricks.sliding_window_view(marks, WINDOW).argmin(1) + at]
-        row, at = row[inside], at[inside]
-        yield row + i, (at - first[row]).astype(np.int32), h[inside], mark[inside]
+def _marked(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, place among all words and mark of every run of ``MIN_WORDS`` words inside a row."""
+    at = np.arange(max(0, len(words) - MIN_WORDS + 1))
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(at)]
+    inside = at + MIN_WORDS <= first[row + 1]
+    if not inside.any():
+        return row[:0], at[:0], np.zeros(0, np.uint64)
+    marks = _rolled(words, MARK)
+    mark = marks[np.lib.stride_tricks.sliding_window_view(marks, WINDOW).argmin(1) + at]
+    return row[inside], at[inside], mark[inside]
 
 
-def _marks(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row, _, _, mark in _runs(b):
-                new = np.concatenate(([True], (mark[1:] != mark[:-1]) | (row[1:] != row[:-1])))
-                u, n = np.unique(mark[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(u, np.minimum(n, 2)).view(np.int64))], names=["mark"])
-
-    return docs.mapInArrow(giving_back(run), "mark bigint")
-
-
-def exact_runs(docs: DataFrame) -> DataFrame:
+def exact_runs(docs: DataFrame, bitmap: Broadcast) -> DataFrame:
     """``doc_id, source_id, start_word, end_word, source_start, source_end``: the longest runs whose every ``MIN_WORDS`` words have the source as first holder."""
-    bitmap = seen_twice.recurring(_marks(docs), "mark")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id").to_numpy()
-            for row, at, h, mark in _runs(b):
+            for i, words, first in _words(b):
+                row, at, mark = _marked(words, first)
                 may = seen_twice.may_recur(bitmap.value, mark)
                 if may.any():
-                    cols = [pa.array(h[may].view(np.int64)), pa.array(ids[row[may]]), pa.array(at[may])]
+                    row, at = row[may], at[may]
+                    cols = [pa.array(_rolled(words, MIN_WORDS)[at].view(np.int64)), pa.array(ids[row + i]), pa.array((at - first[row]).astype(np.int32))]
                     yield pa.RecordBatch.from_arrays(cols, names=["run", "doc", "at"])
 
     def with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,10 +435,12 @@ def passages(docs: DataFrame) -> DataFrame:
     """``doc_id, source_id, start_word, end_word, source_start, source_end, identity, n_words``: passages that an earlier document has."""
     bounded_batches(docs.sparkSession)
     base = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = cut(_shared_seeds(base))
+    bitmap = seen_twice.recurring(_recurring_keys(base), "key")
+    shared = _shared_seeds(base, bitmap)
     matches = shared.where("doc <> src").select("doc", "src", F.col("at").alias("b"), F.col("first").alias("a"))
     found = cut(_fuzzy(base, matches))
-    found = cut(found.union(_needed(_beyond(exact_runs(base), found)).withColumn("identity", F.lit(1.0))))
+    found = cut(found.union(_needed(_beyond(exact_runs(base, bitmap), found)).withColumn("identity", F.lit(1.0))))
+    release(docs.sparkSession)
     tried = None
     for pairs in (_first_of_links, _all_of_links):  # what the first holders of links cover is not asked of the others
         links = cut(_links(shared, found))
@@ -437,6 +450,7 @@ def passages(docs: DataFrame) -> DataFrame:
         if not asked.isEmpty():
             found = cut(found.union(_beyond(_fuzzy(base, _matches_of(shared, asked)), found)))
         drop(links)
+        release(docs.sparkSession)
     return found.select("*", (F.col("end_word") - F.col("start_word")).cast("bigint").alias("n_words"))
 
 
@@ -446,11 +460,13 @@ def _beyond(more: DataFrame, found: DataFrame) -> DataFrame:
     return more.join(held, (more.doc_id == held.id) & (more.source_id == held.of) & (held.lo <= more.start_word) & (held.hi >= more.end_word), "left_anti")
 
 
-def _shared_seeds(base: DataFrame) -> DataFrame:
+def _shared_seeds(base: DataFrame, bitmap: Broadcast) -> DataFrame:
     """``doc, at, seed, src, first``: every place of the seeds that several documents hold, with the first holder and its first place."""
-    seeds = _seed_rows(base)
+    seeds = cut(_seed_rows(base, bitmap))
     shared = seeds.where("fresh").groupBy("seed").agg(F.min("doc").alias("src"), F.max("doc").alias("last"), F.min_by("at", "doc").alias("first"))
-    return seeds.select("doc", "at", "seed").join(shared.where("src <> last").drop("last"), "seed").select("doc", "at", "seed", "src", "first")
+    out = cut(seeds.select("doc", "at", "seed").join(shared.where("src <> last").drop("last"), "seed").select("doc", "at", "seed", "src", "first"))
+    drop(seeds)
+    return out
 
 
 def _following(place: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -512,8 +528,7 @@ def _all_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
     """``doc, src``: documents and all earlier holders of their open links, of links with more than ``OFTEN`` holders those that may have a passage along it."""
     holders = links.groupBy("key").agg(F.min("doc").alias("least"), F.max(F.when(F.col("open"), F.col("doc"))).alias("last"), F.count("*").alias("n")).where("last > least")
     of = cut(links.join(holders.drop("least"), "key"))
-    few = of.where(F.col("n") <= OFTEN).withColumnRenamed("open", "asks")
-    asked = _askers(few, few)
+    asked = _asking(of.where(F.col("n") <= OFTEN))
     often = of.where(F.col("n") > OFTEN)
     if often.isEmpty():
         return asked
@@ -525,6 +540,13 @@ def _all_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
     return asked.union(_askers(_cheapest(one), one)).union(_askers(three.where("long"), three)).union(_askers(three.where("not long"), three.where("long"))).distinct()
 
 
+def _asking(of: DataFrame) -> DataFrame:
+    """``doc, src``: documents with open links of few holders, with their earlier holders. Links of one line have much the same pairs, which become rows once for each document."""
+    holders = of.where("doc < last").groupBy("key").agg(F.collect_list("doc").alias("srcs"))  # at most OFTEN
+    srcs = F.array_distinct(F.flatten(F.collect_list(F.filter("srcs", lambda x: x < F.col("doc")))))
+    return of.where("open").select("key", "doc").join(holders, "key").groupBy("doc").agg(srcs.alias("srcs")).select("doc", F.explode("srcs").alias("src"))
+
+
 def _askers(mine: DataFrame, of: DataFrame) -> DataFrame:
     """``doc, src``: documents that ask for a key, with its earlier holders."""
     held = of.where("doc < last").select("key", F.col("doc").alias("src"))
@@ -576,32 +598,27 @@ def _ends(b: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def _around(docs: DataFrame, links: int) -> DataFrame:
-    """``key, doc, asks, long, nth, side, far, missing``: the ends of ``links`` links (see ``_ends``) that a document asks for and another one has too.
+    """``key, doc, asks, long, nth, side, far, missing``: the ends of ``links`` links (see ``_ends``) that a document asks for and an earlier one has too.
 
-    Hardly any of them is shared. So their keys alone, packed, first set a bitmap of those that are, and only these become rows.
+    Few of them are. So their keys alone, packed with their documents, first set a bitmap of those that are, and only these become rows.
     """
     parts = 8
     while parts < 4096 and parts * seen_twice.PACKED < 2 * links * (MARGIN + PIECE):
         parts *= 2
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, others, n = [], [], 0
+        held, n = [], 0
         for b in batches:
-            own: dict[int, list] = {}
             for doc, (key, asks, *_) in _ends(b):
-                own.setdefault(doc, []).append((key, asks))
-            for ends in own.values():
-                key, asks = (np.concatenate(c) for c in zip(*ends, strict=True))
-                asked.append(np.unique(key[asks]))
-                others.append(np.setdiff1d(key[~asks], asked[-1]))
-                n += len(asked[-1]) + len(others[-1])
+                held.append((key, np.full(len(key), doc, np.int64), asks))
+                n += len(key)
                 if n >= seen_twice.PACKED:
-                    yield seen_twice.packed(np.concatenate(asked), np.concatenate(others), parts)
-                    asked, others, n = [], [], 0
+                    yield seen_twice.packed(*(np.concatenate(c) for c in zip(*held, strict=True)), parts)
+                    held, n = [], 0
         if n:
-            yield seen_twice.packed(np.concatenate(asked), np.concatenate(others), parts)
+            yield seen_twice.packed(*(np.concatenate(c) for c in zip(*held, strict=True)), parts)
 
-    bitmap = seen_twice.asked(docs.mapInArrow(giving_back(keys), "part int, asked binary, others binary"), parts)
+    bitmap = seen_twice.asked(docs.mapInArrow(giving_back(keys), "part int, key binary, doc binary, asks binary"), parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "doc", "asks", "long", "nth", "side", "far", "missing"]
