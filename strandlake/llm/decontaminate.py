@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.runtime import cut, hinted
+from strandlake.runtime import cut, hinted, release
 
 #: Everything that is not a word character: ASCII other than digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -78,6 +78,7 @@ def find(docs: DataFrame, items: DataFrame, width: int = 8, least_items: int = 2
         none = F.lit(0).cast("bigint")
         return base.select("doc_id", n.alias("n_words"), none.alias("n_hit"), none.alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(least_items <= 0).alias("contaminated"))
     spots = cut(spots)
+    release(docs.sparkSession)  # the driver holds large plans of the steps before, and in a pipeline of the stages before
     rarity = spots.groupBy("shingle").agg(F.count("*").alias("n"))
     ranked = placed.join(hinted(rarity), "shingle")  # a window with a shingle that no document has is nowhere
     rarest = ranked.groupBy("ws", "items").agg(F.count("*").alias("known"), F.min(F.struct("n", "shingle", "place")).alias("prefix"))
@@ -97,6 +98,7 @@ def find(docs: DataFrame, items: DataFrame, width: int = 8, least_items: int = 2
     joined = joined.select(F.col("id").alias("doc_id"), F.split(F.coalesce("text", F.lit("")), SEPARATORS).alias("p"), "cs")
     found = F.when(F.col("cs").isNotNull(), F.transform(seen, lambda c: F.struct(c["s"].alias("s"), c["ws"].alias("ws"))))
     rows = cut(joined.select("doc_id", number_of_words(p).cast("bigint").alias("n_words"), found.alias("found")))
+    release(docs.sparkSession)
     rows = rows.withColumn("row", F.monotonically_increasing_id())  # of a checkpoint, so the same whenever it is read
     hits = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("f")).select("row", "f.s", "f.ws")
     hits = hits.join(prefix.select("ws", "items"), "ws")  # equal as whole lists of words
