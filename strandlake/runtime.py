@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,11 +151,31 @@ def ship(spark: SparkSession) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of tables that are no longer referred to: its cleaner acts when the driver's JVM collects.
 
-    Plans and their tasks are garbage of the driver too; its Python side hands freed memory back.
+    Plans and their tasks are garbage of the driver too; both its JVM and its Python side hand freed memory back.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     trim_memory()
+    trim_driver(spark)
+
+
+def trim_driver(spark: SparkSession) -> str:
+    """Hand native memory that the driver's JVM has freed back to the system; what the JVM says of it, or nothing where it has no such command.
+
+    Its allocator keeps what many threads have freed (compiled plans, buffers), beyond the heap and its limit, and more with every run in a session.
+    """
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    forName = jvm.java.lang.Class.forName
+    kinds, values = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+    try:
+        values[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        values[1], values[2], values[3] = "systemTrimNativeHeap", array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = forName(kind)
+        invoke = forName("javax.management.MBeanServer").getMethod("invoke", kinds)
+        return invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), values)
+    except Py4JError:  # another JVM or system; only memory is at stake
+        return ""
 
 
 def trim_memory() -> None:
