@@ -7,6 +7,8 @@ emits only keys that may recur. When the corpus outgrows the bitmap it lets more
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -59,6 +61,27 @@ def packed(key: np.ndarray, doc: np.ndarray, asks: np.ndarray, parts: int) -> pa
     return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *cols], names=["part", "key", "doc", "asks"])
 
 
+def parts_of(keys: int) -> int:
+    """Parts of the bitmap such that about ``PACKED`` of so many keys fall in each."""
+    parts = 8
+    while parts < 4096 and parts * PACKED < keys:
+        parts *= 2
+    return parts
+
+
+def packs(found: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``packed`` of about ``PACKED`` keys each."""
+    held, n = [], 0
+    for one in found:
+        held.append(one)
+        n += len(one[0])
+        if n >= PACKED:
+            yield packed(*(np.concatenate(c) for c in zip(*held, strict=True)), parts)
+            held, n = [], 0
+    if n:
+        yield packed(*(np.concatenate(c) for c in zip(*held, strict=True)), parts)
+
+
 def bits_of(t: pa.Table, each: int) -> pa.Table:
     """``part, bits``: a part of the bitmap of ``asked``, of ``each`` words, from all its rows of ``packed``."""
     key, doc, asks = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind) for c, kind in (("key", np.int64), ("doc", np.int64), ("asks", bool)))

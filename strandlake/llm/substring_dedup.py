@@ -43,6 +43,8 @@ from strandlake.runtime import bounded_batches, cut, drop, giving_back, hinted,
 K, WINDOW, MIN_WORDS, IDENTITY, MAX_GAP, PIECE = 5, 16, 50, 0.8, 40, 128
 #: Holders of a link up to which all are compared because of the link alone.
 OFTEN = 100
+#: Links of a seed, about: the seeds after it within ``MAX_GAP``.
+LINKS = 5
 #: Words within which an equal seed counts as a periodic stretch going on.
 REPEAT = 64
 #: Gap cost of a word, score of a match and a mismatch in extensions, and the drop at which they end.
@@ -436,14 +438,18 @@ def passages(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     base = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bitmap = seen_twice.recurring(_recurring_keys(base), "key")
+    release(docs.sparkSession)
     shared = _shared_seeds(base, bitmap)
+    release(docs.sparkSession)
     matches = shared.where("doc <> src").select("doc", "src", F.col("at").alias("b"), F.col("first").alias("a"))
     found = cut(_fuzzy(base, matches))
+    release(docs.sparkSession)
     found = cut(found.union(_needed(_beyond(exact_runs(base, bitmap), found)).withColumn("identity", F.lit(1.0))))
     release(docs.sparkSession)
     tried = None
     for pairs in (_first_of_links, _all_of_links):  # what the first holders of links cover is not asked of the others
         links = cut(_links(shared, found))
+        release(docs.sparkSession)
         asked = pairs(base, links)
         asked = cut(asked if tried is None else asked.join(tried, ["doc", "src"], "left_anti"))
         tried = asked
@@ -487,11 +493,14 @@ def _links(shared: DataFrame, found: DataFrame) -> DataFrame:
     """``key, doc, open``: pairs of shared seeds that can follow each other in a chain; in open ones, or between their seeds, a shared seed is outside the passages found so far.
 
     A chain has two seeds at least, in both documents in order and within ``MAX_GAP``, so documents without a common link have no common chain.
+    Few links are open in one document and held by an earlier one: their keys travel packed first, and only what may be one of these becomes a row.
     """
     spans = found.select(F.col("doc_id").alias("doc"), F.lit(0).alias("kind"), F.col("start_word").alias("at"), F.col("end_word").cast("bigint").alias("seed"))
     rows = shared.select("doc", F.lit(1).alias("kind"), "at", "seed").union(spans)
+    rows = together(rows, "doc").sortWithinPartitions("doc", "kind", "at")
+    parts = seen_twice.parts_of(LINKS * shared.count())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for t in _groups(batches, 1):
             doc, kind, at, seed = (t.column(c).to_numpy() for c in ("doc", "kind", "at", "seed"))
             base = np.cumsum(np.concatenate(([0], doc[1:] != doc[:-1]))) << 32  # places of all documents along one line
@@ -503,19 +512,22 @@ def _links(shared: DataFrame, found: DataFrame) -> DataFrame:
             i = np.searchsorted(lo, place, "right") - 1
             free = (i < 0) | (place + K > hi[i]) if len(lo) else np.ones(len(place), bool)
             freed = np.concatenate(([0], np.cumsum(free)))
-            keys, who, open_ = [], [], []
             for near, k in _following(place):
-                keys.append(_joint(h[near], h[near + k]))
-                who.append(doc[near])
-                open_.append(freed[near + k + 1] > freed[near])
-            if keys:
-                key, own, is_open = np.concatenate(keys), np.concatenate(who), np.concatenate(open_)
-                order = np.lexsort((~is_open, key, own))
-                key, own, is_open = key[order], own[order], is_open[order]
-                one = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
-                yield pa.RecordBatch.from_arrays([pa.array(key[one]), pa.array(own[one]), pa.array(is_open[one])], names=["key", "doc", "open"])
+                yield _joint(h[near], h[near + k]), doc[near], freed[near + k + 1] > freed[near]
 
-    return together(rows, "doc").sortWithinPartitions("doc", "kind", "at").mapInArrow(giving_back(run), "key bigint, doc bigint, open boolean")
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return seen_twice.packs(links(batches), parts)
+
+    bitmap = seen_twice.asked(rows.mapInArrow(giving_back(keys), "part int, key binary, doc binary, asks binary"), parts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, own, is_open in links(batches):
+            may = seen_twice.may_be_asked(bitmap.value, key)
+            if may.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[may]), pa.array(own[may]), pa.array(is_open[may])], names=["key", "doc", "open"])
+
+    few = rows.mapInArrow(giving_back(run), "key bigint, doc bigint, open boolean")
+    return few.groupBy("key", "doc").agg(F.bool_or("open").alias("open"))
 
 
 def _first_of_links(base: DataFrame, links: DataFrame) -> DataFrame:
@@ -602,21 +614,11 @@ def _around(docs: DataFrame, links: int) -> DataFrame:
 
     Few of them are. So their keys alone, packed with their documents, first set a bitmap of those that are, and only these become rows.
     """
-    parts = 8
-    while parts < 4096 and parts * seen_twice.PACKED < 2 * links * (MARGIN + PIECE):
-        parts *= 2
+    parts = seen_twice.parts_of(2 * links * (MARGIN + PIECE))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in batches:
-            for doc, (key, asks, *_) in _ends(b):
-                held.append((key, np.full(len(key), doc, np.int64), asks))
-                n += len(key)
-                if n >= seen_twice.PACKED:
-                    yield seen_twice.packed(*(np.concatenate(c) for c in zip(*held, strict=True)), parts)
-                    held, n = [], 0
-        if n:
-            yield seen_twice.packed(*(np.concatenate(c) for c in zip(*held, strict=True)), parts)
+        ends = ((key, np.full(len(key), doc, np.int64), asks) for b in batches for doc, (key, asks, *_) in _ends(b))
+        return seen_twice.packs(ends, parts)
 
     bitmap = seen_twice.asked(docs.mapInArrow(giving_back(keys), "part int, key binary, doc binary, asks binary"), parts)
 

@@ -371,3 +371,20 @@ def test_words_are_split_alike():
     flat = [w for own in words for w in own]
     assert [bytes(low[s:e]).decode() for s, e in zip(starts, ends, strict=True)] == flat
     assert len({*h.tolist()}) == len({*flat})
+
+
+def test_links_that_no_later_document_asks_for_are_no_rows(spark):
+    rng = np.random.default_rng(77)
+    words = np.array([f"w{i}" for i in range(4000)])
+    own = lambda n: list(rng.choice(words, n))
+    line = own(40)  # too short a passage
+    rows = [(i, " ".join(own(200) + (line if i % 3 == 0 else []) + own(200))) for i in range(30)]
+    base = spark.createDataFrame([*rows, (100, rows[1][1])], "doc_id bigint, text string")
+    shared = substring_dedup._shared_seeds(base, seen_twice.recurring(substring_dedup._recurring_keys(base), "key"))
+    found = spark.createDataFrame([(100, 1, 0, 400, 0, 400, 1.0)], "doc_id bigint, source_id bigint, start_word int, end_word int, source_start int, source_end int, identity double")
+    links = {}
+    for key, doc, is_open in substring_dedup._links(shared, found).collect():
+        assert doc not in links.setdefault(key, {})
+        links[key][doc] = is_open
+    assert links and all(set(held) == set(range(0, 30, 3)) for held in links.values())  # those of the copy are covered
+    assert all(any(held.values()) for held in links.values())
